@@ -148,10 +148,11 @@ def quintile_rating(
     df: DataFrame, col: str, out: str = "rating", percents: Sequence[int] = (20, 40, 60, 80)
 ) -> DataFrame:
     """Rating 1.. by the value's place among its own quantiles (edges inclusive)."""
-    cuts = quantile_cuts(df, col, percents)
+    # one scalar subquery holding all cuts, so the histogram is built once
+    cuts = quantile_cuts(df, col, percents).select(F.struct("*")).scalar()
     rating = F.lit(1)
     for p in percents:
-        rating = rating + F.when(F.col(col) > cuts.select(f"q{p}").scalar(), 1).otherwise(0)
+        rating = rating + F.when(F.col(col) > cuts[f"q{p}"], 1).otherwise(0)
     return df.withColumn(out, rating.cast("int"))
 
 

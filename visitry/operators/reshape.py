@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import param_value
 
 
-def _param(name: str) -> Column:
+def param_column(name: str) -> Column:
+    """Value of one event parameter as text, null where the event lacks it."""
     hits = F.filter("event_params", lambda p: p["key"] == name)
     return param_value(F.get(hits, F.lit(0))["value"])
 
@@ -33,7 +34,7 @@ def flatten_params(
     names = names or {}
     flat = df.select(
         *[c for c in df.columns if c != "event_params"],
-        *[_param(k).alias(names.get(k, k)) for k in keys],
+        *[param_column(k).alias(names.get(k, k)) for k in keys],
     )
     return flat.dropDuplicates() if dedup else flat
 
@@ -107,9 +108,8 @@ def nest_json(df: DataFrame, levels: Sequence[str], leaf_cols: Sequence[str], ou
     """
     first, *inner = levels
     ordered = F.sort_array(F.collect_list(F.struct(*leaf_cols)))
-    lists = F.struct(
-        *[F.transform(F.col("_rows"), lambda e, c=c: e[c]).alias(c) for c in leaf_cols]
-    )
+    # a field of an array of structs is the array of that field
+    lists = F.struct(*[F.col("_rows").getField(c).alias(c) for c in leaf_cols])
     docs = df.groupBy(*levels).agg(ordered.alias("_rows")).select(*levels, lists.alias("_node"))
     for depth in range(len(inner), 0, -1):
         level = levels[depth]
