@@ -216,7 +216,15 @@ query("precision_recall_at_k", f"""
 )
 
 
-@query("train_test_split")
+RATED = f"""
+    SELECT i.*, 1 + (CASE WHEN total_count > q[1] THEN 1 ELSE 0 END) + (CASE WHEN total_count > q[2] THEN 1 ELSE 0 END)
+             + (CASE WHEN total_count > q[3] THEN 1 ELSE 0 END) + (CASE WHEN total_count > q[4] THEN 1 ELSE 0 END) AS rating
+    FROM ({INTERACTIONS}) i, (SELECT quantile_disc(total_count, [0.2, 0.4, 0.6, 0.8]) AS q FROM ({INTERACTIONS}) j) c"""
+
+
+@query("train_test_split", f"""
+    SELECT *, CASE WHEN CAST('0x' || substr(md5('{{"member_id":' || CAST(member_id AS VARCHAR) || ',"product_id":' || CAST(product_id AS VARCHAR) || '}}'), 1, 6) AS BIGINT)
+        < 13421773 THEN 'train' ELSE 'test' END AS side FROM ({RATED}) r""")
 def _(t):
     train, test = recommend.train_test_split(_ratings(t), ["member_id", "product_id"])
     return train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))

@@ -311,6 +311,19 @@ _predicate("custom_line_value", rule("LineValue_1", "-", ["v1", "v4"], "main_cli
 _predicate("custom_line_tag_value", rule("LineTag_1", "t2", ["v0", "v2"], "main_view"),
            _LINE.format("type = 'view' AND tag = 't2' AND value IN ('v0', 'v2')"))
 
+query("custom_registry", f"""
+    SELECT * FROM ({_LINE.format("type = 'click' AND value IN ('v1', 'v4')")}) a
+    INTERSECT SELECT * FROM ({_LINE.format("type = 'view' AND tag = 't2' AND value IN ('v0', 'v2')")}) b""")(
+    # both rules reach the tenant's predicates by the prefix of their type
+    lambda t: segment_content(
+        t.context(),
+        [
+            rule("LineValue_1", "-", ["v1", "v4"], "main_click"),
+            rule("LineTag_1", "t2", ["v0", "v2"], "main_view", mode="且"),
+        ],
+    )
+)
+
 # --- evaluators -------------------------------------------------------------------------
 
 BUYERS = rule(
@@ -345,13 +358,13 @@ query("segment_list", f"""
     SELECT DISTINCT {ID} FROM (
       SELECT c_custkey AS member_id FROM customer WHERE c_nationkey = 4
       UNION SELECT c_custkey + 1 FROM customer WHERE c_nationkey = 4) t""")(
-    lambda t: segment_list(t.context(), "SS_NATION_4").distinct()
+    lambda t: segment_list(t.context(), "SS_NATION_4")
 )
 _COMPLEMENT_SQL = f"""SELECT {ID} FROM member WHERE member_id NOT IN (
       SELECT c_custkey FROM customer WHERE c_nationkey = 5
       UNION SELECT c_custkey + 1 FROM customer WHERE c_nationkey = 5)"""
 query("segment_list_complement", _COMPLEMENT_SQL)(
-    lambda t: segment_list(t.context(), "SS_NATION_5").distinct()
+    lambda t: segment_list(t.context(), "SS_NATION_5")
 )
 query("segment_upload", f"""
     SELECT DISTINCT {ID} FROM (

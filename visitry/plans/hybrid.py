@@ -22,16 +22,20 @@ UNKNOWN, UNKNOWN_AGE = "unknown", -1
 def weighted_interactions(parts: Sequence[tuple[DataFrame, int]], items: DataFrame) -> DataFrame:
     """(member_id, item, ratings): weighted times per pair, for items of the catalog.
 
-    Each part holds (member_id, item, times) and is reduced before they meet.
+    Each part holds (member_id, item, times). All parts share one aggregate, and
+    the catalog meets the pairs, not the events.
     """
-    summed = [
-        df.where(F.col("member_id").isNotNull())
-        .groupBy("member_id", "item")
-        .agg((F.sum("times") * w).alias("ratings"))
+    weighted = [
+        df.where(F.col("member_id").isNotNull()).select(
+            "member_id", "item", (F.col("times") * w).alias("ratings")
+        )
         for df, w in parts
     ]
-    known = union_all(*summed).join(items.select("item").distinct(), "item", "left_semi")
-    return known.groupBy("member_id", "item").agg(F.sum("ratings").cast("bigint").alias("ratings"))
+    pairs = union_all(*weighted).groupBy("member_id", "item").agg(
+        F.sum("ratings").cast("bigint").alias("ratings")
+    )
+    known = pairs.join(items.select("item").distinct(), "item", "left_semi")
+    return known.select("member_id", "item", "ratings")
 
 
 def item_index(items: DataFrame, item: str = "item", out: str = "item_id") -> DataFrame:

@@ -177,18 +177,24 @@ def recs_final(
     mine = own.select("member_id", *[F.col(n).alias(f"own_{n}") for n in names])
     both = cohorts.join(mine, "member_id", "left").join(cohort.select("cohort", *names), "cohort", "left")
     has_own = F.col("own_product_1").isNotNull()
-    picked = []
-    for i, name in enumerate(names, start=1):
-        seller = popular.where(F.col("rank") == i).select(F.max("product_id").try_cast("int")).scalar()
-        picked.append(
-            F.when(has_own, F.col(f"own_{name}")).otherwise(F.coalesce(name, seller)).alias(name)
-        )
+    # k rows folded to one struct: a single scalar subquery serves all ranks
+    places = [
+        F.max(F.when(F.col("rank") == i, F.col("product_id").try_cast("int"))).alias(name)
+        for i, name in enumerate(names, start=1)
+    ]
+    sellers = popular.agg(F.struct(*places).alias("s")).scalar()
+    picked = [
+        F.when(has_own, F.col(f"own_{n}")).otherwise(F.coalesce(F.col(n), sellers[n])).alias(n)
+        for n in names
+    ]
     return both.select("member_id", *picked)
 
 
 def train_test_split(
-    df: DataFrame, keys: Sequence[str], train_tenths: int = 8
+    df: DataFrame, keys: Sequence[str], train: float = 0.8
 ) -> tuple[DataFrame, DataFrame]:
-    """Repeatable random split: a row's side depends on its keys alone."""
-    slot = F.pmod(F.xxhash64(*keys), F.lit(10))
-    return df.where(slot < train_tenths), df.where(slot >= train_tenths)
+    """Repeatable random split: a row's side depends on a digest of its keys alone."""
+    text = F.to_json(F.struct(*keys), {"ignoreNullFields": "false"})
+    slot = F.conv(F.substring(F.md5(text), 1, 6), 16, 10).cast("bigint")
+    cut = round(train * 16**6)
+    return df.where(slot < cut), df.where(slot >= cut)

@@ -38,17 +38,19 @@ def segment_test(ctx: SegmentContext, label: str, kind: str = "email") -> DataFr
 
 
 def segment_list(ctx: SegmentContext, label: str) -> DataFrame:
-    """Members of a stored list, or all others where the list is marked as excluding.
+    """Distinct members of a stored list, or all others where it is marked as excluding.
 
-    The list is ``{"content": [...]}``; its include flag is compared inside the
-    plan, so nothing is read while building it.
+    The list is ``{"content": [...]}``. Its include flag is compared inside the
+    plan, so nothing is read while building it; listed and existing members meet
+    in one shuffle, whichever side is wanted.
     """
     rows = ctx.tables("stored_list").where(F.col("label_id") == label)
     content = parse_json_column(F.get_json_object("list", "$.content"))
-    listed = rows.select(F.explode(content).alias("member_id"))
+    listed = rows.select(F.explode(content).alias("member_id"), F.lit(True).alias("_listed"))
+    everyone = segment_all(ctx).withColumn("_listed", F.lit(False))
     flag = rows.agg(F.min("include")).scalar()
-    others = segment_all(ctx).join(listed, "member_id", "left_anti")
-    return listed.where(flag == 1).unionByName(others.where(flag == 0))
+    merged = listed.unionByName(everyone).groupBy("member_id").agg(F.bool_or("_listed").alias("_listed"))
+    return merged.where(F.col("_listed") == (flag == 1)).select("member_id")
 
 
 def segment_upload(ctx: SegmentContext, label: str) -> DataFrame:
