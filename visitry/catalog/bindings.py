@@ -9,12 +9,15 @@ agree; no binding restricts a table to a part of its ids.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from ..segments import SegmentContext
 from ..segments import custom as custom_predicates
+from ..session import scratch_path
 from ..sources import read_table
 
 AS_OF_PURCHASE = date(2001, 8, 2)
@@ -272,6 +275,9 @@ def references(sql: str) -> list[str]:
     return [n for n in dict.fromkeys(NAMES.findall(sql)) if n in BINDINGS or n in SCHEMAS]
 
 
+_STORED: dict[tuple[str, str, str], tuple[str, StructType]] = {}
+
+
 class Tables:
     """Driver and logical tables by name, as lazy DataFrames."""
 
@@ -294,6 +300,21 @@ class Tables:
                 )
         return self._made[name]
 
+    def stored(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        """A table Spark derives from the others, written once per session and read back.
+
+        For inputs that are stored as such in reality (nested events): reading
+        them from files keeps their making out of the queries' plans.
+        """
+        key = (self.spark.sparkContext.applicationId, self.root, name)
+        if key not in _STORED:
+            path = scratch_path(self.spark, name)
+            df = make()
+            df.write.parquet(path)
+            _STORED[key] = (path, df.schema)
+        path, schema = _STORED[key]
+        return self.spark.read.schema(schema).parquet(path)
+
     def _upload_list(self) -> DataFrame:
         """Uploaded lists: arrays of member ids, one document per customer and nation."""
         return self("customer").select(

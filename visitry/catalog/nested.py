@@ -1,4 +1,4 @@
-"""Nested event tables, packed by Spark from the flat bindings.
+"""Nested event tables, packed by Spark from the flat bindings and stored once.
 
 The check SQL reads the flat form, so flattening must give it back.
 """
@@ -28,17 +28,12 @@ def param(key: str, c: Column, kind: str) -> Column:
 def pack(flat: DataFrame, params: Mapping[str, str]) -> Column:
     """``event_params`` of ``{key: column}``; null columns are absent, noise is added."""
     kinds = dict(flat.dtypes)
-    entries = [param(key, F.col(c), kinds[c]) for key, c in params.items()]
-    noise = param("noise", F.col("event_id").cast("string"), "string")
-    used = F.filter(
-        F.array(*entries, noise),
-        lambda p: F.coalesce(
-            p["value"]["string_value"],
-            p["value"]["int_value"].cast("string"),
-            p["value"]["double_value"].cast("string"),
-        ).isNotNull(),
-    )
-    return used
+    noise = F.array(param("noise", F.col("event_id").cast("string"), "string"))
+    parts = [
+        F.when(F.col(c).isNotNull(), F.array(param(key, F.col(c), kinds[c]))).otherwise(F.slice(noise, 1, 0))
+        for key, c in params.items()
+    ]
+    return F.concat(*parts, noise)
 
 
 def micros(ts: str = "ts") -> Column:
@@ -46,22 +41,25 @@ def micros(ts: str = "ts") -> Column:
 
 
 def kiosk_a(t: Tables) -> DataFrame:
-    flat = t("kiosk_a")
-    return flat.select(
-        "event_id", "event_date", micros().alias("event_timestamp"), "event_name",
-        pack(flat, PARAMS_A).alias("event_params"),
-    )
+    return t.stored("kiosk_a", lambda: _kiosk(t("kiosk_a"), PARAMS_A))
 
 
 def kiosk_b(t: Tables) -> DataFrame:
-    flat = t("kiosk_b")
+    return t.stored("kiosk_b", lambda: _kiosk(t("kiosk_b"), PARAMS_B))
+
+
+def web(t: Tables) -> DataFrame:
+    return t.stored("web", lambda: _web(t))
+
+
+def _kiosk(flat: DataFrame, params: Mapping[str, str]) -> DataFrame:
     return flat.select(
         "event_id", "event_date", micros().alias("event_timestamp"), "event_name",
-        pack(flat, PARAMS_B).alias("event_params"),
+        pack(flat, params).alias("event_params"),
     )
 
 
-def web(t: Tables) -> DataFrame:
+def _web(t: Tables) -> DataFrame:
     """Web analytics events with device, traffic source and place."""
     flat = t("web_event").withColumns(
         {
@@ -71,7 +69,7 @@ def web(t: Tables) -> DataFrame:
     )
     params = {"ga_session_id": "ga_session_id", "item": "item", "product_price": "price"}
     number = {"ga_session_number": "k"}
-    chosen = F.when(F.col("event_name") == "error", F.slice(pack(flat, {}), 1, 1)).otherwise(
+    chosen = F.when(F.col("event_name") == "error", pack(flat, {})).otherwise(
         pack(flat, params | number)
     )
     return flat.select(

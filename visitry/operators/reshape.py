@@ -11,9 +11,13 @@ from ..functions import param_value
 
 
 def param_column(name: str) -> Column:
-    """Value of one event parameter as text, null where the event lacks it."""
-    hits = F.filter("event_params", lambda p: p["key"] == name)
-    return param_value(F.get(hits, F.lit(0))["value"])
+    """Value of one event parameter as text, null where the event lacks it.
+
+    Position lookup instead of a lambda: it stays inside generated code, and
+    the first of repeated keys wins.
+    """
+    place = F.array_position(F.col("event_params.key"), name).cast("int")
+    return param_value(F.get(F.col("event_params"), place - 1)["value"])
 
 
 def flatten_params(
@@ -30,7 +34,8 @@ def flatten_params(
     repeated output rows; ``names`` renames columns.
     """
     if not keep_empty:
-        df = df.where(F.exists("event_params", lambda p: p["key"].isin(*keys)))
+        wanted = F.array(*[F.lit(k) for k in keys])
+        df = df.where(F.arrays_overlap(F.col("event_params.key"), wanted))
     names = names or {}
     flat = df.select(
         *[c for c in df.columns if c != "event_params"],
@@ -41,10 +46,10 @@ def flatten_params(
 
 def explode_params(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Long form (event columns, key, value) of the allow-listed parameters."""
-    wanted = F.filter("event_params", lambda p: p["key"].isin(*keys))
     rest = [c for c in df.columns if c != "event_params"]
-    return df.select(*rest, F.explode(wanted).alias("_p")).select(
-        *rest, F.col("_p")["key"].alias("key"), param_value(F.col("_p")["value"]).alias("value")
+    long = df.select(*rest, F.explode("event_params").alias("_p"))
+    return long.where(F.col("_p.key").isin(*keys)).select(
+        *rest, F.col("_p.key").alias("key"), param_value(F.col("_p.value")).alias("value")
     )
 
 
