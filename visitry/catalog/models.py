@@ -155,12 +155,11 @@ WHOLE_BLEND = BLEND.replace("sum(rating) AS rating", "round_even(sum(rating) * 1
 COHORT_WHOLE = COHORT_BEST.replace(BLEND, WHOLE_BLEND)
 
 
-def _cohort_best(t: Tables):
-    wide_recs = recommend.recs_wide(_whole(_blend(t)))
-    return recommend.cohort_recs(wide_recs, recommend.cohort_assign(t("member")))
-
-
-query("cohort_recs", COHORT_WHOLE)(_cohort_best)
+query("cohort_recs", COHORT_WHOLE)(
+    lambda t: recommend.cohort_recs(
+        recommend.recs_wide(_whole(_blend(t))), recommend.cohort_assign(t("member"))
+    )
+)
 POPULAR = """SELECT CAST(row_number() OVER (ORDER BY sum(count) DESC, product_id) AS INTEGER) AS rank, product_id, CAST(sum(count) AS BIGINT) AS total
     FROM purchase WHERE product_id NOT LIKE 'D%' GROUP BY product_id ORDER BY rank LIMIT 5"""
 query("popular_top5", POPULAR)(lambda t: recommend.popular_top(t("purchase")))
@@ -178,16 +177,13 @@ RECS_FINAL = f"""
 
 
 def _final(t: Tables):
-    own = recommend.recs_wide(_whole(_blend(t))).join(
-        t("member").where("level <> 'BUILDING'").select("member_id"), "member_id", "left_semi"
-    )
+    recs, cohorts = recommend.recs_wide(_whole(_blend(t))), recommend.cohort_assign(t("member"))
+    own = recs.join(t("member").where("level <> 'BUILDING'").select("member_id"), "member_id", "left_semi")
     # every other cohort is unknown, the known ones lack two places
-    few = _cohort_best(t).where("cohort % 2 = 0").withColumns(
+    few = recommend.cohort_recs(recs, cohorts).where("cohort % 2 = 0").withColumns(
         {f"product_{i}": F.lit(None).cast("int") for i in (4, 5)}
     )
-    return recommend.recs_final(
-        own, few, recommend.popular_top(t("purchase")), recommend.cohort_assign(t("member"))
-    )
+    return recommend.recs_final(own, few, recommend.popular_top(t("purchase")), cohorts)
 
 
 query("recs_final", RECS_FINAL)(_final)

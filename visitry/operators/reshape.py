@@ -118,7 +118,13 @@ def nest_json(df: DataFrame, levels: Sequence[str], leaf_cols: Sequence[str], ou
     docs = df.groupBy(*levels).agg(ordered.alias("_rows")).select(*levels, lists.alias("_node"))
     for depth in range(len(inner), 0, -1):
         level = levels[depth]
-        entries = F.map_from_entries(F.sort_array(F.collect_list(F.struct(level, "_node"))))
+        # maps cannot be ordered, so entries are compared by their key alone
+        entries = F.map_from_entries(
+            F.array_sort(
+                F.collect_list(F.struct(level, "_node")),
+                lambda a, b: F.when(a[level] < b[level], -1).otherwise(1),
+            )
+        )
         docs = docs.groupBy(*levels[:depth]).agg(entries.alias("_node"))
     return docs.select(first, F.to_json("_node").alias(out))
 
