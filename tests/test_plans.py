@@ -70,3 +70,22 @@ def test_dwell_window_is_cut_into_pieces(spark):
     text = plan(QUERIES["dwell_time"](spark, SF_DIR))
     windows = re.findall(r"windowspecdefinition\(([^)]*)", text)
     assert any("_piece" in w.split(" ASC")[0] and "event_id" in w for w in windows)
+
+
+def test_null_keys_are_spread(spark):
+    """Rows without a key are hashed by their salt too, not all to one partition."""
+    from pyspark.sql import functions as F
+
+    from visitry.operators.joins import enrich_left
+
+    facts = spark.range(1000).select("id", F.when(F.col("id") % 3 > 0, F.col("id") % 7).alias("k"))
+    dim = spark.range(7).select(F.col("id").alias("k"), F.concat(F.lit("v"), "id").alias("v"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out = enrich_left(facts, dim, ["k"])
+        text = plan(out)
+        assert len(re.findall(r"hashpartitioning\(k#\w+, _salt#\w+", text)) == 2
+        assert out.count() == 1000 and out.where("v IS NULL").count() == 334
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

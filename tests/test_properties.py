@@ -189,3 +189,52 @@ def test_final_recommendations_are_full(spark, tables):
 def test_rmse_of_the_fit(spark):
     row = QUERIES["rec_rmse_mae"](spark, SF_DIR).first()
     assert 0 < row.mae <= row.rmse
+
+
+def _mixed_rules():
+    span = {"start_time": "1999-01-01", "end_time": "2001-08-02"}
+    late = {"time_range": {"start_time": "2000-06-01", "end_time": "2001-08-02"}, "count": {}, "cost": {}}
+    wide = {"time_range": span, "count": {"count": 2, "moreOrless": "以上(含)"}, "cost": {"moreOrlessForCost": "大於", "cost": 1000}}
+    return [
+        rule("消費行為", "有購買的人", [], "整體", wide),
+        rule("消費行為", "累計消費金額", {"moreOrless": "大於", "cost": 50000}, "線上", late, "且"),
+        rule("基本屬性", "性別", ["男"], mode="或"),
+        rule("消費行為", "累計消費次數", {"moreOrless": "小於", "cost": 6}, "線下", wide, "且"),
+        rule("基本屬性", "年齡級距", {"low": 10, "high": 70}, mode="且"),
+        rule("AI顧客分群", "流失風險", ["高"], mode="或"),
+        rule("消費行為", "平均客單價", {"moreOrless": "小於", "low": 1000, "high": 90000}, "整體", late, "且"),
+        rule("渠道再行銷", "有點擊過", [], "Email", mode="或"),
+        rule("渠道再行銷", "有轉換過", [], "SMS", {"event": "r_3"}, "或"),
+        rule("消費行為", "有購買的人", [], "整體", wide, "且"),
+    ]
+
+
+def test_shared_passes_equal_single_rules(tables):
+    """Rules evaluated together give what folding them one by one gives."""
+    from datetime import datetime
+
+    ctx, rules = tables.context(datetime(2024, 1, 31)), _mixed_rules()
+    want: set = set()
+    for n, r in enumerate(rules, start=1):
+        found = ids(predicate(ctx, r))
+        want = want & found if r["mode"] == "且" else want | found
+        if n in (2, 5, 9, len(rules)):
+            assert ids(segment_content(ctx, rules[:n])) == want
+
+
+def test_labels_together_equal_labels_alone(tables):
+    from visitry.segments import label_membership
+
+    rules = _mixed_rules()
+    contents = {"C_1": rules[:3], "C_2": rules[3:7], "C_3": list(reversed(rules)), "C_4": []}
+    ctx = tables.context(contents=contents)
+    out = label_membership(ctx, {k: k.lower() for k in contents}).collect()
+    for label, content in contents.items():
+        assert {r.member_id for r in out if r.labelId == label} == ids(segment_content(ctx, content))
+    assert all(r.label == r.labelId.lower() for r in out)
+
+
+def test_shared_passes_scan_each_table_once(tables):
+    text = segment_content(tables.context(), _mixed_rules())._jdf.queryExecution().executedPlan().toString()
+    for table, scans in [("lineitem", 1), ("events", 1), ("orders", 1)]:
+        assert text.count(f"/{table}.parquet") == scans

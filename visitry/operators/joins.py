@@ -26,7 +26,9 @@ def enrich_left(df: DataFrame, dim: DataFrame, on: Sequence[str]) -> DataFrame:
     plain = [name for name, kind in df.dtypes if name not in on and "map" not in kind]
     spread = F.pmod(F.xxhash64(*plain), F.lit(NULL_KEY_SALTS)) if plain else F.lit(0)
     left = df.withColumn("_salt", F.when(missing, spread + 1).otherwise(0).cast("int"))
-    right = dim.where(present).withColumn("_salt", F.lit(0))
+    # always 0, but not a literal: a literal would be folded away and with it the
+    # salt's part in the shuffle
+    right = dim.where(present).withColumn("_salt", F.pmod(F.hash(*on), F.lit(1)))
     return left.join(right, [*on, "_salt"], "left").drop("_salt")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.joins import strict_translate
-from .context import Ids, SegmentContext, among, as_ids, no_ids
+from .context import Ids, SegmentContext, among, as_ids, no_ids, rows_of
 
 # Tag -> column of the member table.
 LISTED = {
@@ -35,11 +35,11 @@ AI_COLUMNS = {
 def basic(ctx: SegmentContext, tag: str, value, web=None, more=None) -> Ids:
     member = ctx.tables("member")
     if tag in LISTED:
-        return as_ids(member.where(among(F.col(LISTED[tag]), value)), unique=True)
+        return rows_of("member", member, among(F.col(LISTED[tag]), value), unique=True)
     if tag in RANGED:
         c = F.col(RANGED[tag])
         low, high = (F.lit(value[k]).cast(dict(member.dtypes)[RANGED[tag]]) for k in ("low", "high"))
-        return as_ids(member.where(c.between(low, high)), unique=True)
+        return rows_of("member", member, c.between(low, high), unique=True)
     if tag == BRAND_TAG:
         if not value:
             return no_ids(ctx)
@@ -52,11 +52,12 @@ def basic(ctx: SegmentContext, tag: str, value, web=None, more=None) -> Ids:
 def value_label(ctx: SegmentContext, tag: str, value, web=None, more=None) -> Ids:
     if tag != "價值分群":
         raise ValueError(f"unknown tag {tag!r}")
-    return as_ids(ctx.tables("member_label").where(among(F.col("value_label"), value)), unique=True)
+    labels = ctx.tables("member_label")
+    return rows_of("member_label", labels, among(F.col("value_label"), value), unique=True)
 
 
 def ai_label(ctx: SegmentContext, tag: str, value, web=None, more=None) -> Ids:
     if tag not in AI_COLUMNS:
         return no_ids(ctx)
     behavior = ctx.tables("member_behavior")
-    return as_ids(behavior.where(among(F.col(AI_COLUMNS[tag]), value)), unique=True)
+    return rows_of("member_behavior", behavior, among(F.col(AI_COLUMNS[tag]), value), unique=True)

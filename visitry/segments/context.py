@@ -8,6 +8,8 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..operators.sets import Filtered
+
 
 @dataclass(frozen=True)
 class SegmentContext:
@@ -32,11 +34,19 @@ class SegmentContext:
 
 @dataclass(frozen=True)
 class Ids:
-    """Member ids of one predicate, and whether they are already distinct."""
+    """Member ids of one predicate, and whether they are already distinct.
+
+    ``source`` is what a fold reads: a row test on a table where the predicate
+    is one (so that several share a scan), else the ids themselves.
+    """
 
-    df: DataFrame
+    source: DataFrame | Filtered
     unique: bool = False
 
+    @property
+    def df(self) -> DataFrame:
+        return self.source.ids("member_id") if isinstance(self.source, Filtered) else self.source
+
     def distinct(self) -> DataFrame:
         return self.df if self.unique else self.df.distinct()
 
@@ -46,6 +56,12 @@ def as_ids(df: DataFrame, unique: bool = False, col: str = "member_id") -> Ids:
     return Ids(found.where(F.col("member_id").isNotNull()), unique)
 
 
+def rows_of(name: str, base: DataFrame, test: Column, unique: bool = False) -> Ids:
+    """Ids of the rows of table ``name`` that pass a test."""
+    known = test & F.col("member_id").isNotNull()
+    return Ids(Filtered(name, base, known, F.col("member_id").cast("string")), unique)
+
+
 def no_ids(ctx: SegmentContext) -> Ids:
     return as_ids(ctx.tables("member").where(F.lit(False)), unique=True)
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions import parse_json_column, value_map
 from ..operators.sets import fold_membership, fold_memberships
 from .context import SegmentContext, as_ids, no_ids
-from .families import rule_ids
+from .families import rule_sources
 
 # How a rule combines with those before it; other modes do nothing.
 MODES = {"初": "or", "或": "or", "且": "and"}
@@ -17,12 +17,17 @@ MODES = {"初": "or", "或": "or", "且": "and"}
 
 def segment_content(ctx: SegmentContext, rules: Sequence[Mapping]) -> DataFrame:
     """Distinct member ids of a rule list, folded left to right in one shuffle."""
-    steps = _steps(ctx, rules)
+    steps = _folds(ctx, {"": rules}).get("")
     return fold_membership(steps, "member_id") if steps else no_ids(ctx).df
 
 
-def _steps(ctx: SegmentContext, rules: Sequence[Mapping]) -> list[tuple[DataFrame, str]]:
-    return [(rule_ids(ctx, r).df, MODES[r["mode"]]) for r in rules if r["mode"] in MODES]
+def _folds(ctx: SegmentContext, contents: Mapping[str, Sequence[Mapping]]) -> dict[str, list]:
+    """Steps per label, rules without effect left out. Sources are shared across labels."""
+    docs = [(label, r) for label, rules in contents.items() for r in rules if r["mode"] in MODES]
+    folds: dict[str, list] = {}
+    for (label, r), source in zip(docs, rule_sources(ctx, [r for _, r in docs])):
+        folds.setdefault(label, []).append((source, MODES[r["mode"]]))
+    return folds
 
 
 def segment_all(ctx: SegmentContext) -> DataFrame:
@@ -88,8 +93,7 @@ def label_catalog(docs: DataFrame) -> DataFrame:
 
 def label_membership(ctx: SegmentContext, labels: Mapping[str, str]) -> DataFrame:
     """(member_id, labelId, label) of all given labels (``{id: name}``), in one shuffle."""
-    groups = {i: _steps(ctx, ctx.contents[i]) for i in labels}
-    groups = {i: steps for i, steps in groups.items() if steps}
+    groups = _folds(ctx, {i: ctx.contents[i] for i in labels})
     if not groups:
         found = no_ids(ctx).df.withColumn("labelId", F.lit(None).cast("string"))
     else:

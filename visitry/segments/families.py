@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
+from ..operators.sets import Filtered
+
 from .attributes import ai_label, basic, value_label
 from .context import Ids, SegmentContext
 from .online import off_site, on_site
-from .purchases import purchase_behavior
+from .purchases import TOTALS, member_totals, purchase_behavior
 from .remarketing import remarketing
 
 # Rule types.
@@ -32,6 +34,14 @@ def rule_ids(ctx: SegmentContext, doc: Mapping) -> Ids:
     return family(ctx, doc["tag"], doc["value"], doc.get("web"), doc.get("more_option"))
 
 
+def rule_sources(ctx: SegmentContext, docs: Sequence[Mapping]) -> list[DataFrame | Filtered]:
+    """What to fold for each rule; purchase-total rules share one pass over the purchases."""
+    kind = "消費行為"
+    fused = [d for d in docs if d["type"] == kind and d["tag"] in TOTALS]
+    totals = iter(member_totals(ctx, fused)) if fused else iter(())
+    return [next(totals) if d in fused else rule_ids(ctx, d).source for d in docs]
+
+
 def predicate(ctx: SegmentContext, doc: Mapping) -> DataFrame:
     """Distinct member ids (strings) satisfying one rule."""
     return rule_ids(ctx, doc).distinct()

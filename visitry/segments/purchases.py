@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import between_times, cmp_predicate, resolve_range
-from .context import Ids, SegmentContext, among, as_ids
+from ..operators.sets import Filtered
+from .context import Ids, SegmentContext, among, as_ids, rows_of
 
 # Channel word -> values of the online flag.
 CHANNELS = {"線上": (1,), "線下": (0,), "整體": (0, 1)}
@@ -21,6 +25,10 @@ GRADE_COLUMNS = {
     "消費頻率分級": "frequency",
     "距離上次購買分級": "last_purchase",
 }
+# Tags decided by a member's totals.
+BUYERS, FIRST_BUYERS = "有購買的人", "首購的人"
+TOTALS = (BUYERS, "累計消費金額", "平均客單價", "累計消費次數")
+EVERY_ORDER = (BUYERS, FIRST_BUYERS)
 
 
 def _options(more) -> tuple[dict, dict]:
@@ -45,28 +53,68 @@ def _amount_test(c: Column, value) -> Column:
     )
 
 
-def _orders_all(lines: DataFrame, cost: dict, count: dict | None = None) -> DataFrame:
-    """Members whose every order's total passes the cost test (and count the order test).
+def member_totals(ctx: SegmentContext, docs: Sequence[Mapping]) -> list[Filtered]:
+    """One test per rule on a shared table of per-member totals.
 
-    Per order first: a member with a third of all lines is spread over its
-    orders, and the count test comes with the same second aggregate.
+    Rules differ in channel, time range and limits; their sums and counts are
+    conditional aggregates of a single pass over the purchases. Lines are first
+    summed per order, so a member holding a third of all lines is spread over
+    its orders.
     """
-    orders = lines.groupBy("member_id", "order_id").agg(F.sum("sales").alias("total"))
-    totals = orders.groupBy("member_id").agg(
-        F.bool_and(cmp_predicate(F.col("total"), **cost)).alias("every"),
-        F.count("*").alias("orders"),
+    scopes: dict[tuple, Column] = {}
+    order_sums, member_sums, tests = {}, {}, []
+    for i, doc in enumerate(docs):
+        start, end = resolve_range((doc.get("more_option") or {}).get("time_range"), ctx.as_of)
+        scope = (doc["web"], start, end)
+        if scope not in scopes:
+            dated = between_times(F.col("date"), start, end, is_date=True)
+            scopes[scope] = _channel(doc["web"]) & dated
+            s = len(scopes) - 1
+            order_sums[f"total{s}"] = F.sum(F.when(scopes[scope], F.col("sales")))
+            order_sums[f"lines{s}"] = F.count(F.when(scopes[scope], 1))
+            member_sums[f"orders{s}"] = F.count_if(F.col(f"lines{s}") > 0)
+            member_sums[f"sales{s}"] = F.sum(f"total{s}")
+        s = list(scopes).index(scope)
+        orders, sales, value = F.col(f"orders{s}"), F.col(f"sales{s}"), doc["value"]
+        count, cost = _options(doc.get("more_option"))
+        if doc["tag"] in EVERY_ORDER:
+            passed = F.when(F.col(f"lines{s}") > 0, cmp_predicate(F.col(f"total{s}"), **cost))
+            member_sums[f"every{i}"] = F.bool_and(passed)
+            test = F.col(f"every{i}")
+            if doc["tag"] == BUYERS:
+                test = test & cmp_predicate(orders, **count)
+        elif doc["tag"] == "累計消費金額":
+            test = _amount_test(sales, value)
+        elif doc["tag"] == "平均客單價":
+            test = _amount_test(sales / F.nullif(orders, F.lit(0)), value)
+        else:
+            test = _amount_test(orders, value)
+        tests.append((orders > 0) & test)
+    bought = ctx.tables("purchase").where(F.col("member_id").isNotNull())
+    inside = reduce(lambda a, b: a | b, scopes.values())
+    per_order = bought.where(inside).groupBy("member_id", "order_id").agg(
+        *[c.alias(n) for n, c in order_sums.items()]
     )
-    test = F.col("every")
-    return totals.where(test if count is None else test & cmp_predicate(F.col("orders"), **count))
+    totals = per_order.groupBy("member_id").agg(*[c.alias(n) for n, c in member_sums.items()])
+    key = F.col("member_id").cast("string")
+    return [Filtered("purchase totals", totals, test, key) for test in tests]
+
+
+def _channel(web: str) -> Column:
+    if web not in CHANNELS:
+        raise ValueError(f"unknown channel {web!r}")
+    return F.col("online").isin(*CHANNELS[web])
 
 
 def purchase_behavior(ctx: SegmentContext, tag: str, value=(), web=None, more=None) -> Ids:
     if tag in GRADE_COLUMNS:
         labels = ctx.tables("member_label")
-        return as_ids(labels.where(among(F.col(GRADE_COLUMNS[tag]), value)), unique=True)
-    if web not in CHANNELS:
-        raise ValueError(f"unknown channel {web!r}")
-    online = F.col("online").isin(*CHANNELS[web])
+        return rows_of("member_label", labels, among(F.col(GRADE_COLUMNS[tag]), value), unique=True)
+    online = _channel(web)
+    doc = {"tag": tag, "value": value, "web": web, "more_option": more}
+    if tag in TOTALS:
+        return Ids(member_totals(ctx, [doc])[0], unique=True)
+
     start, end = resolve_range((more or {}).get("time_range"), ctx.as_of)
     count, cost = _options(more)
 
@@ -74,20 +122,21 @@ def purchase_behavior(ctx: SegmentContext, tag: str, value=(), web=None, more=No
         return df.where(between_times(F.col(col), start, end, is_date=True))
 
     bought = ctx.tables("purchase").where(F.col("member_id").isNotNull())
-    lines = dated(bought.where(online))
-
     if tag == "未購買的人":
         members = ctx.tables("member").where(online).select("member_id")
         # buyers are not restricted to the channel
         return as_ids(members.join(dated(bought), "member_id", "left_anti"), unique=True)
-    if tag == "有購買的人":
-        return as_ids(_orders_all(lines, cost, count), unique=True)
-    if tag == "首購的人":
-        joined = dated(ctx.tables("member").where(online), "join_date").select("member_id")
-        return as_ids(joined.join(_orders_all(lines, cost), "member_id", "left_semi"), unique=True)
+    if tag == FIRST_BUYERS:
+        joined = dated(ctx.tables("member").where(online), "join_date").select(
+            F.col("member_id").cast("string")
+        )
+        every = member_totals(ctx, [doc])[0].ids("member_id")
+        return as_ids(joined.join(every, "member_id", "left_semi"), unique=True)
     if tag in PRODUCT_COLUMNS:
         wanted = ctx.tables("brand").where(among(F.col(PRODUCT_COLUMNS[tag]), value))
-        found = lines.join(wanted.select("product_id"), "product_id", "left_semi")
+        found = dated(bought.where(online)).join(
+            wanted.select("product_id"), "product_id", "left_semi"
+        )
         grouped = found.groupBy("member_id").agg(
             F.countDistinct("order_id").alias("orders"),
             F.bool_and(cmp_predicate(F.col("sales"), **cost)).alias("every"),
@@ -95,16 +144,6 @@ def purchase_behavior(ctx: SegmentContext, tag: str, value=(), web=None, more=No
         return as_ids(
             grouped.where(F.col("every") & cmp_predicate(F.col("orders"), **count)), unique=True
         )
-    if tag == "累計消費金額":
-        totals = lines.groupBy("member_id").agg(F.sum("sales").alias("x"))
-        return as_ids(totals.where(_amount_test(F.col("x"), value)), unique=True)
-    if tag == "平均客單價":
-        orders = lines.groupBy("member_id", "order_id").agg(F.sum("sales").alias("total"))
-        means = orders.groupBy("member_id").agg((F.sum("total") / F.count("*")).alias("x"))
-        return as_ids(means.where(_amount_test(F.col("x"), value)), unique=True)
-    if tag == "累計消費次數":
-        counts = lines.groupBy("member_id").agg(F.countDistinct("order_id").alias("x"))
-        return as_ids(counts.where(_amount_test(F.col("x"), value)), unique=True)
     if tag == "距離上次購買天數區隔":
         last = bought.where(online).groupBy("member_id").agg(F.max("date").alias("last"))
         days = F.date_diff(F.lit(end.date()), F.col("last"))

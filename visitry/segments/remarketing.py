@@ -6,11 +6,11 @@ rule_id, touch_time): one filtered scan replaces a union of per-table queries.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import between_times, contact_id_clean, resolve_range
 from ..operators.joins import below_limits
-from .context import Ids, SegmentContext, among, as_ids, no_ids
+from .context import Ids, SegmentContext, among, as_ids, no_ids, rows_of
 
 # Tag -> action recorded.
 ACTIONS = {"有寄出過": "sent", "有開信過": "open", "有點擊過": "click", "有轉換過": "buy"}
@@ -21,9 +21,8 @@ QUOTA_COLUMNS = ("daily", "weekly", "monthly", "yearly")
 LIMIT_ROW = "limit"
 
 
-def _clean(df, unique: bool = False) -> Ids:
-    ids = as_ids(df, unique)
-    return Ids(ids.df.where(contact_id_clean(F.col("member_id"))), unique)
+def _clean(name: str, df: DataFrame, test: Column, unique: bool = False) -> Ids:
+    return rows_of(name, df, test & contact_id_clean(F.col("member_id").cast("string")), unique)
 
 
 def _by_rule(action: str, rule_id: str, script: bool, prefix: bool) -> Column:
@@ -46,28 +45,27 @@ def remarketing(ctx: SegmentContext, tag: str, value=(), web=None, more=None) ->
         if timed or rule_id:
             raise ValueError(f"{tag} takes neither a time range nor a rule")
         if tag == SENDABLE:
-            return _clean(ctx.tables("member_status").where(F.col(column) == "normal"), unique=True)
-        rated = ctx.tables("channel_user").where(F.col("channel") == column)
-        return _clean(rated.where(among(F.col("response"), value)))
+            status = ctx.tables("member_status")
+            return _clean("member_status", status, F.col(column) == "normal", unique=True)
+        rated = (F.col("channel") == column) & among(F.col("response"), value)
+        return _clean("channel_user", ctx.tables("channel_user"), rated)
     if tag not in ACTIONS:
         raise ValueError(f"unknown tag {tag!r}")
 
     action = ACTIONS[tag]
     if web == "SMS" and action == "open":
         return no_ids(ctx)
-    touches = ctx.tables("channel_touch").where(F.col("channel") == web)
+    test = F.col("channel") == web
     if timed:
         start, end = resolve_range(time_range, ctx.as_of)
-        touches = touches.where(
-            (F.col("action") == action)
-            & between_times(F.col("touch_time"), start, end, is_date=False)
-        )
+        moment = between_times(F.col("touch_time"), start, end, is_date=False)
+        test = test & (F.col("action") == action) & moment
     elif rule_id:
         script = rule_id.startswith(script_prefix)
-        touches = touches.where(_by_rule(action, rule_id, script, prefix=script or web == "Email"))
+        test = test & _by_rule(action, rule_id, script, prefix=script or web == "Email")
     else:
-        touches = touches.where(F.col("action") == action)
-    return _clean(touches)
+        test = test & (F.col("action") == action)
+    return _clean("channel_touch", ctx.tables("channel_touch"), test)
 
 
 def sendable_below_quota(ctx: SegmentContext, web: str, limits=None) -> Ids:
