@@ -42,5 +42,5 @@ def test_no_query_reads_a_part_of_its_tables():
 
     for name, sql in BINDINGS.items():
         where = re.sub(r"CASE.*?END", "", sql.split("WHERE")[-1]) if "WHERE" in sql else ""
-        assert "%" not in where, name
+        assert not re.search(r"\w %+ \d", where), name
         assert "LIMIT" not in sql, name
