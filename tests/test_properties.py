@@ -238,3 +238,19 @@ def test_shared_passes_scan_each_table_once(tables):
     text = segment_content(tables.context(), _mixed_rules())._jdf.queryExecution().executedPlan().toString()
     for table, scans in [("lineitem", 1), ("events", 1), ("orders", 1)]:
         assert text.count(f"/{table}.parquet") == scans
+
+
+def test_recommendations_for_text_ids(spark, tables):
+    """Ids that are not 32-bit ints are numbered for the fit and come back unchanged."""
+    from visitry.plans.recommend import als_recommend
+
+    ratings = tables("purchase_scores").select(
+        F.concat(F.lit("M"), "member_id").alias("member_id"),
+        (F.col("product_id") + 10**12).alias("product_id"), "rating",
+    )
+    recs = als_recommend(ratings, 3, rank=2, maxIter=2).cache()
+    assert dict(recs.dtypes) == {"member_id": "string", "product_id": "bigint", "rating": "double"}
+    assert recs.select("member_id").distinct().count() == ratings.select("member_id").distinct().count()
+    assert recs.join(ratings.select("product_id").distinct(), "product_id", "left_anti").count() == 0
+    assert recs.groupBy("member_id").count().where("count <> 3").count() == 0
+    recs.unpersist()

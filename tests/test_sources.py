@@ -38,6 +38,14 @@ def test_append_skips_empty(spark, folder):
     assert spark.read.parquet(f"{folder}/t").count() == 2
 
 
+def test_append_writes_few_files_per_folder(spark, folder):
+    df = spark.range(1000).repartition(8).selectExpr("id", "cast(id % 5 AS string) AS d")
+    sink_append(df, f"{folder}/f", ["d"])
+    files = [f for _, _, fs in os.walk(f"{folder}/f") for f in fs if f.endswith(".parquet")]
+    assert len(files) == 5  # not 8 tasks x 5 folders
+    assert spark.read.parquet(f"{folder}/f").count() == 1000
+
+
 def test_replace_partition_is_idempotent(spark, folder):
     path = f"{folder}/m"
     both = spark.createDataFrame([(1, "2024-01"), (2, "2024-02")], "n int, month string")

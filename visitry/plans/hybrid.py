@@ -86,9 +86,11 @@ def hybrid_recommend(
     user gets the mean scores of its token's users, else of everybody.
     """
     ensure_checkpoint_dir(interactions.sparkSession)
+    blocks = max(10, interactions.sparkSession.sparkContext.defaultParallelism)
+    settings = {"numUserBlocks": blocks, "numItemBlocks": blocks, **params}
     model = ALS(
         userCol="member_id", itemCol="item_id", ratingCol="ratings", implicitPrefs=True,
-        rank=rank, seed=42, **params,
+        rank=rank, seed=42, **settings,
     ).fit(interactions)
     own = model.recommendForAllUsers(k).select("member_id", F.inline("recommendations")).select(
         "member_id", "item_id", F.col("rating").cast("double").alias("score")

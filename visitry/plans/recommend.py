@@ -7,13 +7,13 @@ from collections.abc import Mapping, Sequence
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import age_bucket, exclude_product_code
 from ..operators.joins import join_lookup
 from ..operators.reshape import melt_wide, ranks_to_columns
 from ..operators.sets import union_all
-from ..operators.windows import cohort_id, topk_global, topn_per_group
+from ..operators.windows import cohort_id, number_rows, topk_global, topn_per_group
 from ..session import ensure_checkpoint_dir
 
 # Weights of the blend, ranks kept, event counted as a click.
@@ -65,18 +65,22 @@ def interactions_click(
     )
 
 
-def _als(**params) -> ALS:
+def _als(spark: SparkSession, **params) -> ALS:
+    # the default of 10 blocks would bound the parallelism, however large the cluster
+    blocks = max(10, spark.sparkContext.defaultParallelism)
+    settings = {"numUserBlocks": blocks, "numItemBlocks": blocks, **params}
     return ALS(
         userCol="member_id", itemCol="product_id", ratingCol="rating", nonnegative=True,
-        implicitPrefs=False, coldStartStrategy="drop", seed=0, **params,
+        implicitPrefs=False, coldStartStrategy="drop", seed=0, **settings,
     )
 
 
 def als_fit(ratings: DataFrame, **params) -> ALSModel:
     """Explicit non-negative factorisation of (member_id, product_id, rating), int ids."""
-    ensure_checkpoint_dir(ratings.sparkSession)
+    spark = ratings.sparkSession
+    ensure_checkpoint_dir(spark)
     known = ratings.dropna(subset=["member_id", "product_id"])
-    return _als(**params).fit(known.select("member_id", "product_id", "rating"))
+    return _als(spark, **params).fit(known.select("member_id", "product_id", "rating"))
 
 
 def als_scores(model: ALSModel, k: int = OWN_RANKS) -> DataFrame:
@@ -88,15 +92,28 @@ def als_scores(model: ALSModel, k: int = OWN_RANKS) -> DataFrame:
 
 
 def als_recommend(ratings: DataFrame, k: int = OWN_RANKS, **params) -> DataFrame:
-    return als_scores(als_fit(ratings, **params), k)
+    """Fit and recommend. Ids that are not ints (texts, bigints) are numbered for the
+    fit, which takes 32-bit ids only, and given back in the result."""
+    wide = [c for c in ("member_id", "product_id") if dict(ratings.dtypes)[c] != "int"]
+    numbers = {}
+    for c in wide:
+        ids = ratings.select(c).where(F.col(c).isNotNull()).distinct()
+        numbers[c] = number_rows(ids, [c], "_n").withColumn("_n", F.col("_n").cast("int"))
+        ratings = ratings.join(numbers[c], c).drop(c).withColumnRenamed("_n", c)
+    scores = als_scores(als_fit(ratings, **params), k)
+    for c in wide:
+        names = numbers[c].select(F.col(c).alias("_name"), F.col("_n").alias(c))
+        scores = scores.join(names, c).drop(c).withColumnRenamed("_name", c)
+    return scores.select("member_id", "product_id", "rating")
 
 
 def als_cv(
     ratings: DataFrame, grid: Mapping[str, Sequence] = ALS_GRID, folds: int = 4, **params
 ) -> CrossValidatorModel:
     """Hyperparameter search by RMSE; the grid is a parameter (rank 2000 is rarely affordable)."""
-    ensure_checkpoint_dir(ratings.sparkSession)
-    als = _als(**params)
+    spark = ratings.sparkSession
+    ensure_checkpoint_dir(spark)
+    als = _als(spark, **params)
     builder = ParamGridBuilder()
     for name, values in grid.items():
         builder = builder.addGrid(als.getParam(name), list(values))

@@ -7,11 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 
+def _laid_out(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Rows of one folder together, so that tasks do not each write a file per folder.
+
+    The rebalance hint lets adaptive execution split a large folder over tasks
+    and put small ones together.
+    """
+    return df.hint("rebalance", *by) if by else df
+
+
 def sink_append(df: DataFrame, path: str, by: Sequence[str] = ()) -> bool:
     """Append, unless there is nothing to append; tells whether rows were written."""
     if df.isEmpty():
         return False
-    df.write.mode("append").partitionBy(*by).parquet(path)
+    _laid_out(df, by).write.mode("append").partitionBy(*by).parquet(path)
     return True
 
 
@@ -23,7 +32,8 @@ def sink_replace(df: DataFrame, path: str) -> None:
 def replace_partition(df: DataFrame, path: str, col: str) -> None:
     """Replace exactly the partitions of ``col`` present in ``df``; others stay."""
     (
-        df.write.mode("overwrite")
+        _laid_out(df, [col])
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(col)
         .parquet(path)
