@@ -209,11 +209,29 @@ def _mixed_rules():
     ]
 
 
-def test_shared_passes_equal_single_rules(tables):
+def _web_rules():
+    def when(first, last, count=None):
+        return {"time_range": {"start_time": first, "end_time": last}, "count": count or {}}
+
+    return [
+        rule("網站行為", "有造訪過網站", [], "main", when("2024-01-02", "2024-01-20", {"count": 3, "moreOrless": "以上(含)"})),
+        rule("網站行為", "有登入過", [], "main", when("2024-01-05", "2024-01-12"), "且"),
+        rule("網站行為", "有轉換過", [], "main", when("2024-01-05", "2024-01-25"), "或"),
+        rule("網站行為", "有加入購物車但未結", [], "main", None, "或"),
+        rule("網站行為", "造訪商品名稱", ["small ring", "red widget"], "main", when("2024-01-01", "2024-01-30"), "或"),
+        rule("網站行為", "造訪頁面類別", {"page_SMALL": ["blue bolt"]}, "main", when("2024-01-03", "2024-01-28"), "或"),
+        rule("網站行為", "平均瀏覽時長", {"low": 60, "high": 600}, "main", when("2024-01-01", "2024-01-30"), "且"),
+        rule("網站行為", "utm campaign source", ["fb"], "main", when("2024-01-03", "2024-01-09"), "或"),
+        rule("網站行為", "utm campaign name", ["c3"], "main", when("2024-01-03", "2024-01-12"), "且"),
+    ]
+
+
+@pytest.mark.parametrize("make", [_mixed_rules, _web_rules])
+def test_shared_passes_equal_single_rules(tables, make):
     """Rules evaluated together give what folding them one by one gives."""
     from datetime import datetime
 
-    ctx, rules = tables.context(datetime(2024, 1, 31)), _mixed_rules()
+    ctx, rules = tables.context(datetime(2024, 1, 31)), make()
     want: set = set()
     for n, r in enumerate(rules, start=1):
         found = ids(predicate(ctx, r))
@@ -238,6 +256,10 @@ def test_shared_passes_scan_each_table_once(tables):
     text = segment_content(tables.context(), _mixed_rules())._jdf.queryExecution().executedPlan().toString()
     for table, scans in [("lineitem", 1), ("events", 1), ("orders", 1)]:
         assert text.count(f"/{table}.parquet") == scans
+    web = segment_content(tables.context(date(2024, 1, 31)), _web_rules())
+    text = web._jdf.queryExecution().executedPlan().toString()
+    # one pass per log: views, sessions, carts, utm
+    assert text.count("/events.parquet") == 4
 
 
 def test_recommendations_for_text_ids(spark, tables):

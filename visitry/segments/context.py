@@ -45,6 +45,7 @@ class Ids:
 
     @property
     def df(self) -> DataFrame:
+        """The ids as a table, possibly repeated."""
         return self.source.ids("member_id") if isinstance(self.source, Filtered) else self.source
 
     def distinct(self) -> DataFrame:

@@ -10,7 +10,7 @@ from ..operators.sets import Filtered
 
 from .attributes import ai_label, basic, value_label
 from .context import Ids, SegmentContext
-from .online import off_site, on_site
+from .online import counted_table, off_site, on_site, visitor_totals
 from .purchases import TOTALS, member_totals, purchase_behavior
 from .remarketing import remarketing
 
@@ -35,11 +35,29 @@ def rule_ids(ctx: SegmentContext, doc: Mapping) -> Ids:
 
 
 def rule_sources(ctx: SegmentContext, docs: Sequence[Mapping]) -> list[DataFrame | Filtered]:
-    """What to fold for each rule; purchase-total rules share one pass over the purchases."""
-    kind = "消費行為"
-    fused = [d for d in docs if d["type"] == kind and d["tag"] in TOTALS]
-    totals = iter(member_totals(ctx, fused)) if fused else iter(())
-    return [next(totals) if d in fused else rule_ids(ctx, d).source for d in docs]
+    """What to fold for each rule; rules on totals of one table share one pass over it."""
+    sources: list = [None] * len(docs)
+    shared: dict[tuple, list[int]] = {}
+    for i, doc in enumerate(docs):
+        how = _shared_pass(doc)
+        if how is None:
+            sources[i] = rule_ids(ctx, doc).source
+        else:
+            shared.setdefault(how, []).append(i)
+    for (totals, *args), places in shared.items():
+        for i, source in zip(places, totals(ctx, [docs[p] for p in places], *args)):
+            sources[i] = source
+    return sources
+
+
+def _shared_pass(doc: Mapping) -> tuple | None:
+    """Function (with arguments) evaluating the rule together with others like it."""
+    if doc["type"] == "消費行為" and doc["tag"] in TOTALS:
+        return (member_totals,)
+    if doc["type"] == "網站行為":
+        table = counted_table(doc["tag"], doc["value"])
+        return (visitor_totals, table, doc["web"]) if table else None
+    return None
 
 
 def predicate(ctx: SegmentContext, doc: Mapping) -> DataFrame:
