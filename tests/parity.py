@@ -4,6 +4,9 @@ Stricter than a hash of rounded values: same columns, same Python types, equal
 values bit for bit, regardless of row order.
 
     python tests/parity.py [sf_dir] [key ...]
+
+PARITY_ZONE sets the session's time zone, PARITY_BROADCAST the broadcast
+threshold (-1: sort-merge joins only): neither may change a result.
 """
 
 from __future__ import annotations
@@ -82,7 +85,10 @@ def main() -> int:
     keys = sys.argv[2:] or list(QUERIES)
     spark = build_session(
         "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
-                       "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"}
+                       "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false",
+                       "spark.sql.session.timeZone": os.environ.get("PARITY_ZONE", "UTC"),
+                       "spark.sql.autoBroadcastJoinThreshold": os.environ.get("PARITY_BROADCAST", "10MB"),
+                       "spark.sql.adaptive.autoBroadcastJoinThreshold": os.environ.get("PARITY_BROADCAST", "10MB")}
     )
     spark.sparkContext.setLogLevel("ERROR")
     con, bad = duck(sf_dir), 0

@@ -46,6 +46,8 @@ def test_excluded_last_never_returns(tables):
     assert out and not out & gone
     assert ids(segment_include_exclude(ctx, [])) == set()
     assert ids(segment_include_exclude(ctx, [("ALL", 0), ("?", 1)])) == set()
+    assert ids(segment_include_exclude(ctx, [("C_deleted", 1)])) == set()
+    assert ids(segment_include_exclude(ctx, [("C_x", 1), ("C_deleted", 1)])) == ids(segment_content(ctx, RULES))
 
 
 def test_buyers_and_non_buyers_are_disjoint(tables):

@@ -7,8 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import parse_json_column, value_map
-from ..operators.sets import fold_membership, fold_memberships
-from .context import SegmentContext, as_ids, no_ids
+from ..operators.sets import Filtered, fold_membership, fold_memberships
+from .context import SegmentContext, as_ids, no_ids, rows_of
 from .families import rule_sources
 
 # How a rule combines with those before it; other modes do nothing.
@@ -63,13 +63,17 @@ def segment_upload(ctx: SegmentContext, label: str) -> DataFrame:
     return rows.select(F.explode(F.col("members").cast("array<string>")).alias("member_id"))
 
 
-def _label_ids(ctx: SegmentContext, label: str, kind: str) -> DataFrame:
-    if label.startswith(("C_", "X")):
-        if label not in ctx.contents:
-            raise ValueError(f"no rules for label {label!r}")
-        return segment_content(ctx, ctx.contents[label])
+def _is_content(label: str) -> bool:
+    return label.startswith(("C_", "X"))
+
+
+def _label_source(
+    ctx: SegmentContext, label: str, kind: str, contents: DataFrame | None
+) -> DataFrame | Filtered:
+    if _is_content(label):
+        return Filtered("contents", contents, F.col("labelId") == label, F.col("member_id"))
     if label.startswith("ALL"):
-        return segment_all(ctx)
+        return rows_of("member", ctx.tables("member"), F.lit(True)).source
     if label.startswith("T_"):
         return segment_test(ctx, label, kind)
     if label.startswith("SS_"):
@@ -82,9 +86,30 @@ def _label_ids(ctx: SegmentContext, label: str, kind: str) -> DataFrame:
 def segment_include_exclude(
     ctx: SegmentContext, rows: Sequence[tuple[str, int]], kind: str = "email"
 ) -> DataFrame:
-    """Fold of (label, include) rows: add the label's members, or take them away."""
-    steps = [(_label_ids(ctx, label, kind), "or" if include else "not") for label, include in rows]
-    return fold_membership(steps, "member_id") if steps else no_ids(ctx).df
+    """Fold of (label, include) rows: add the label's members, or take them away.
+
+    All labels given by rules are folded together first, then the rows.
+    """
+    if not rows:
+        return no_ids(ctx).df
+    ruled = list(dict.fromkeys(label for label, _ in rows if _is_content(label)))
+    contents = _content_members(ctx, ruled) if ruled else None
+    steps = [
+        (_label_source(ctx, label, kind, contents), "or" if include else "not")
+        for label, include in rows
+    ]
+    return fold_membership(steps, "member_id")
+
+
+def _content_members(ctx: SegmentContext, labels: Sequence[str]) -> DataFrame:
+    """(member_id, labelId) of labels given by rules, in one shuffle.
+
+    A label without rules (deleted, say) has no members.
+    """
+    groups = _folds(ctx, {label: ctx.contents.get(label, ()) for label in labels})
+    if not groups:
+        return no_ids(ctx).df.withColumn("labelId", F.lit(None).cast("string"))
+    return fold_memberships(groups, "member_id", "labelId")
 
 
 def label_catalog(docs: DataFrame) -> DataFrame:
@@ -93,9 +118,5 @@ def label_catalog(docs: DataFrame) -> DataFrame:
 
 def label_membership(ctx: SegmentContext, labels: Mapping[str, str]) -> DataFrame:
     """(member_id, labelId, label) of all given labels (``{id: name}``), in one shuffle."""
-    groups = _folds(ctx, {i: ctx.contents[i] for i in labels})
-    if not groups:
-        found = no_ids(ctx).df.withColumn("labelId", F.lit(None).cast("string"))
-    else:
-        found = fold_memberships(groups, "member_id", "labelId")
+    found = _content_members(ctx, list(labels))
     return found.withColumn("label", value_map(F.col("labelId"), labels, keep_unknown=True))
