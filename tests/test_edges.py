@@ -369,3 +369,19 @@ def test_nested_documents(spark):
     assert docs["A"] == '{"e1":{"item":["x","y"],"n":[2,1]},"e2":{"item":["x"],"n":[5]}}'
     deep = dict(rows(reshape.nest_json(df.withColumn("top", F.lit("t")), ["top", "place", "event"], ["n"])))
     assert deep["t"] == '{"A":{"e1":{"n":[1,2]},"e2":{"n":[5]}},"B":{"e1":{"n":[1]}}}'
+
+
+def test_hit_rate_edges(spark):
+    from visitry.plans.evaluation import precision_recall_at_k, rec_hit_rate
+
+    recs = spark.createDataFrame(
+        [(1, 10, 11, 10), (2, 20, None, None), (3, None, None, None), (4, 40, 41, 42)],
+        "member_id int, product_1 int, product_2 int, product_3 int",
+    )
+    actual = spark.createDataFrame(
+        [(1, 10), (1, 10), (1, 99), (2, 21), (3, 30), (5, 50), (4, None)], "member_id int, item int"
+    )
+    # member 1 hits once (a repeated place counts once), 2 and 3 miss, 4 and 5 lack one side
+    assert rows(rec_hit_rate(recs, actual, 3).select("members", "hit")) == [(3, 1)]
+    got = precision_recall_at_k(recs, actual, 3).first()
+    assert abs(got.precision - (1 / 3) / 3) < 1e-12 and abs(got.recall - (1 / 2) / 3) < 1e-12

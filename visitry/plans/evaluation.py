@@ -7,23 +7,29 @@ from pyspark.sql import DataFrame, functions as F
 from ..operators.reshape import melt_wide
 
 
-def _recommended(recs: DataFrame, k: int, prefix: str = "product_") -> DataFrame:
-    pairs = [(f"{prefix}{i}",) for i in range(1, k + 1)]
-    long = melt_wide(recs, ["member_id"], pairs, ["item"], "rank")
-    return long.dropna(subset=["item"]).select("member_id", "item").distinct()
-
-
-def _hits(recs: DataFrame, actual: DataFrame, k: int) -> DataFrame:
-    """Per member with both recommendations and actual items: hits and actual count."""
-    seen = actual.select("member_id", "item").distinct()
-    hits = _recommended(recs, k).join(seen, ["member_id", "item"], "left_semi")
-    per_member = hits.groupBy("member_id").agg(F.count("*").alias("hits"))
-    truth = seen.groupBy("member_id").agg(F.count("*").alias("actual"))
+def _hits(recs: DataFrame, actual: DataFrame, k: int, prefix: str = "product_") -> DataFrame:
+    """Per member with both recommendations and actual items: hits and actual count.
+
+    Both sides meet as rows of one aggregate per (member, item), then per member:
+    each input is read once and nothing is joined. Repeated items count once;
+    empty places keep their member.
+    """
+    places = [(f"{prefix}{i}",) for i in range(1, k + 1)]
+    long = melt_wide(recs, ["member_id"], places, ["item"], "rank")
+    both = long.select("member_id", "item", F.lit(True).alias("rec")).unionByName(
+        actual.where(F.col("item").isNotNull()).select("member_id", "item", F.lit(False).alias("rec"))
+    )
+    pairs = both.groupBy("member_id", "item").agg(
+        F.bool_or("rec").alias("rec"), F.bool_or(~F.col("rec")).alias("bought")
+    )
     return (
-        recs.select("member_id")
-        .join(truth, "member_id")
-        .join(per_member, "member_id", "left")
-        .select("member_id", F.coalesce("hits", F.lit(0)).alias("hits"), "actual")
+        pairs.groupBy("member_id")
+        .agg(
+            F.bool_or("rec").alias("served"),
+            F.count_if(F.col("rec") & F.col("bought")).alias("hits"),
+            F.count_if("bought").alias("actual"),
+        )
+        .where(F.col("served") & (F.col("actual") > 0))
     )
 
 

@@ -95,6 +95,8 @@ def hybrid_recommend(
     own = model.recommendForAllUsers(k).select("member_id", F.inline("recommendations")).select(
         "member_id", "item_id", F.col("rating").cast("double").alias("score")
     )
+    # scoring all pairs is the costly step and its result is read several times
+    own = own.checkpoint()
 
     # new items of one token tie, so only the first k of each can be among a user's best k
     cold = items.join(interactions.select("item_id").distinct(), "item_id", "left_anti")
@@ -103,7 +105,7 @@ def hybrid_recommend(
         F.avg("score").alias("score")
     )
     lent = by_token.join(cold, "token").select("member_id", "item_id", "score")
-    known = _best(own.unionByName(lent), k).drop("rank")
+    known = _best(own.unionByName(lent), k).drop("rank").checkpoint()
 
     newcomers = users.join(known.select("member_id").distinct(), "member_id", "left_anti")
     placed = known.join(users, "member_id")

@@ -162,11 +162,12 @@ def cohort_recs(recs: DataFrame, cohorts: DataFrame, k: int = COHORT_RANKS) -> D
     counts; the k greatest are kept, product id breaking ties.
     """
     columns = [(f"product_{i}", f"rating{i}") for i in range(1, OWN_RANKS + 1)]
-    placed = recs.join(cohorts, "member_id", "left")
+    placed = recs.join(cohorts.where(F.col("cohort").isNotNull()), "member_id")
     long = melt_wide(placed, ["cohort"], columns, ["product_id", "rating"], "rank")
+    # members with fewer recommendations leave empty places
+    long = long.dropna(subset=["product_id", "rating"])
     sums = long.groupBy("cohort", "product_id", "rank").agg(F.sum("rating").alias("rating"))
     best = sums.groupBy("cohort", "product_id").agg(F.max("rating").alias("rating"))
-    best = best.dropna(subset=["cohort", "product_id", "rating"])
     top = topn_per_group(best, ["cohort"], [F.desc("rating"), F.asc("product_id")], k)
     return ranks_to_columns(top, ["cohort"], "rank", k, {"product_id": "product_"})
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import new_customer_flag, rfm_score
 from ..functions.numbers import RFM_CUTS
+from ..operators.joins import cross_grid
 
 # Value labels.
 NEW, BEST, LOST, LOYAL, SLEEPING, NO_PURCHASE = (
@@ -57,10 +58,10 @@ def rfm_kmeans(features: DataFrame, k: int = 6, seed: int = 0) -> tuple[KMeansMo
 
 
 def assign_clusters(model: KMeansModel, features: DataFrame) -> DataFrame:
-    """(member_id, cluster), through the score triples."""
+    """(member_id, cluster), through the 27 possible score triples."""
+    triples = cross_grid(features.sparkSession.range(1), **{c: (1, 2, 3) for c in SCORES})
     vectors = VectorAssembler(inputCols=SCORES, outputCol="features")
-    known = model.transform(vectors.transform(score_profiles(features))).select(*SCORES, "cluster")
-    # at most 27 triples
+    known = model.transform(vectors.transform(triples)).select(*SCORES, "cluster")
     return features.join(F.broadcast(known), SCORES).select("member_id", "cluster")
 
 
