@@ -312,6 +312,8 @@ def test_numbers_are_dense_and_repeatable(spark):
     first = dict(rows(windows.number_rows(df, ["k"], "n")))
     again = dict(rows(windows.number_rows(df.repartition(13), ["k"], "n")))
     assert sorted(first.values()) == list(range(1, 5001)) and first == again
+    finer = dict(rows(windows.number_rows(df, ["k"], "n", start=0, digits=4)))
+    assert sorted(finer.values()) == list(range(5000))
 
 
 def test_most_frequent_ties(spark):

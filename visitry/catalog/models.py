@@ -234,12 +234,14 @@ def _(t):
 
 # --- hybrid item recommender ------------------------------------------------------------
 
-KINDS = {"signup": 3, "purchase": 2, "click": 1, "view": 1}
+KINDS = {"signup": "booking", "purchase": "reserve_click", "click": "case_click", "view": "line_label"}
 
 
 def _interactions(t: Tables):
     events = t("case_event")
-    parts = [(events.where(F.col("kind") == k), w) for k, w in KINDS.items()]
+    parts = [
+        (events.where(F.col("kind") == kind), hybrid.WEIGHTS[name]) for kind, name in KINDS.items()
+    ]
     return hybrid.weighted_interactions(parts, t("case_info"))
 
 

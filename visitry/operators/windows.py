@@ -71,16 +71,20 @@ def topk_global(
     return best.where(~F.col(item).isin(*blocked)) if blocked else best
 
 
-def number_rows(df: DataFrame, keys: Sequence[str], out: str, start: int = 1) -> DataFrame:
+def number_rows(
+    df: DataFrame, keys: Sequence[str], out: str, start: int = 1, digits: int = 3
+) -> DataFrame:
     """Consecutive numbers for the distinct key values in ``keys``, without one big sort.
 
-    Rows are placed in 4096 slots by a digest of their key and numbered inside
-    their slot; the slot's offset is the running count of the slots before it (a
-    table of at most 4096 rows, so it may be broadcast). The same keys always
-    get the same numbers. ``keys`` must identify a row.
+    Rows are placed in 16**digits slots (4096 by default) by a digest of their
+    key and numbered inside their slot; the slot's offset is the running count
+    of the slots before it (a row per slot, so it may be broadcast). The same
+    keys always get the same numbers. ``keys`` must identify a row.
     """
+    if not 1 <= digits <= 4:
+        raise ValueError("digits must be 1 to 4")
     text = F.to_json(F.struct(*keys), {"ignoreNullFields": "false"})
-    slotted = df.withColumn("_slot", F.substring(F.md5(text), 1, 3))
+    slotted = df.withColumn("_slot", F.substring(F.md5(text), 1, digits))
     sizes = slotted.groupBy("_slot").agg(F.count("*").alias("_size"))
     before = Window.partitionBy(F.lit(0)).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_slot", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))

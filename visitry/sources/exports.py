@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators.joins import join_lookup
-from ..operators.sets import union_distinct
+from ..operators.sets import union_all
 from ..operators.windows import number_rows
 
 # Rows per campaign file, and the sender of rules without a schedule.
@@ -22,7 +22,7 @@ def sender_lookup(primary: DataFrame, cross: DataFrame) -> DataFrame:
 
     A name with several senders keeps the least, so that it maps to one.
     """
-    both = union_distinct(primary.select("name", "sender"), cross.select("name", "sender"))
+    both = union_all(primary.select("name", "sender"), cross.select("name", "sender"))
     return both.groupBy("name").agg(F.min("sender").alias("sender"))
 
 
