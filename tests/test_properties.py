@@ -208,6 +208,9 @@ def _mixed_rules():
         rule("渠道再行銷", "有點擊過", [], "Email", mode="或"),
         rule("渠道再行銷", "有轉換過", [], "SMS", {"event": "r_3"}, "或"),
         rule("消費行為", "有購買的人", [], "整體", wide, "且"),
+        rule("消費行為", "購買的類別名稱", ["ECONOMY"], "線上", late, "或"),
+        rule("消費行為", "購買的品牌名稱", ["Brand#2", "Brand#4"], "整體", wide, "或"),
+        rule("消費行為", "購買的商品名稱", ["red widget"], "線下", None, "或"),
     ]
 
 
@@ -256,7 +259,8 @@ def test_labels_together_equal_labels_alone(tables):
 
 def test_shared_passes_scan_each_table_once(tables):
     text = segment_content(tables.context(), _mixed_rules())._jdf.queryExecution().executedPlan().toString()
-    for table, scans in [("lineitem", 1), ("events", 1), ("orders", 1)]:
+    # purchases once for totals and once, joined with the brands, for products
+    for table, scans in [("lineitem", 2), ("events", 1), ("orders", 2), ("part", 1)]:
         assert text.count(f"/{table}.parquet") == scans
     web = segment_content(tables.context(date(2024, 1, 31)), _web_rules())
     text = web._jdf.queryExecution().executedPlan().toString()

@@ -11,7 +11,13 @@ from ..operators.sets import Filtered
 from .attributes import ai_label, basic, value_label
 from .context import Ids, SegmentContext
 from .online import counted_table, off_site, on_site, visitor_totals
-from .purchases import TOTALS, member_totals, purchase_behavior
+from .purchases import (
+    PRODUCT_COLUMNS,
+    TOTALS,
+    member_totals,
+    product_totals,
+    purchase_behavior,
+)
 from .remarketing import remarketing
 
 # Rule types.
@@ -54,6 +60,8 @@ def _shared_pass(doc: Mapping) -> tuple | None:
     """Function (with arguments) evaluating the rule together with others like it."""
     if doc["type"] == "消費行為" and doc["tag"] in TOTALS:
         return (member_totals,)
+    if doc["type"] == "消費行為" and doc["tag"] in PRODUCT_COLUMNS:
+        return (product_totals,)
     if doc["type"] == "網站行為":
         table = counted_table(doc["tag"], doc["value"])
         return (visitor_totals, table, doc["web"]) if table else None

@@ -100,6 +100,40 @@ def member_totals(ctx: SegmentContext, docs: Sequence[Mapping]) -> list[Filtered
     return [Filtered("purchase totals", totals, test, key) for test in tests]
 
 
+def product_totals(ctx: SegmentContext, docs: Sequence[Mapping]) -> list[Filtered]:
+    """One test per product rule on a shared table of per-member order counts.
+
+    All rules read the purchases of any wanted product once. A product listed
+    twice in the brand table changes nothing: orders are counted, and "every
+    line" does not mind repeats.
+    """
+    brand, sums, members, tests, wanted, dates = ctx.tables("brand"), {}, {}, [], [], []
+    for i, doc in enumerate(docs):
+        start, end = resolve_range((doc.get("more_option") or {}).get("time_range"), ctx.as_of)
+        count, cost = _options(doc.get("more_option"))
+        product = among(F.col(PRODUCT_COLUMNS[doc["tag"]]), doc["value"])
+        scope = _channel(doc["web"]) & between_times(F.col("date"), start, end, is_date=True)
+        line = product & scope
+        sums[f"lines{i}"] = F.count_if(line)
+        sums[f"every{i}"] = F.bool_and(F.when(line, cmp_predicate(F.col("sales"), **cost)))
+        members[f"orders{i}"] = F.count_if(F.col(f"lines{i}") > 0)
+        members[f"every{i}"] = F.bool_and(f"every{i}")
+        orders = F.col(f"orders{i}")
+        tests.append((orders > 0) & F.col(f"every{i}") & cmp_predicate(orders, **count))
+        wanted.append(product)
+        dates.append(scope)
+
+    def any_of(conditions: Sequence[Column]) -> Column:
+        return reduce(lambda a, b: a | b, conditions)
+
+    bought = ctx.tables("purchase").where(F.col("member_id").isNotNull() & any_of(dates))
+    lines = bought.join(brand.where(any_of(wanted)), "product_id")
+    per_order = lines.groupBy("member_id", "order_id").agg(*[c.alias(n) for n, c in sums.items()])
+    totals = per_order.groupBy("member_id").agg(*[c.alias(n) for n, c in members.items()])
+    key = F.col("member_id").cast("string")
+    return [Filtered("product totals", totals, test, key) for test in tests]
+
+
 def _channel(web: str) -> Column:
     if web not in CHANNELS:
         raise ValueError(f"unknown channel {web!r}")
@@ -114,9 +148,10 @@ def purchase_behavior(ctx: SegmentContext, tag: str, value=(), web=None, more=No
     doc = {"tag": tag, "value": value, "web": web, "more_option": more}
     if tag in TOTALS:
         return Ids(member_totals(ctx, [doc])[0], unique=True)
+    if tag in PRODUCT_COLUMNS:
+        return Ids(product_totals(ctx, [doc])[0], unique=True)
 
     start, end = resolve_range((more or {}).get("time_range"), ctx.as_of)
-    count, cost = _options(more)
 
     def dated(df: DataFrame, col: str = "date") -> DataFrame:
         return df.where(between_times(F.col(col), start, end, is_date=True))
@@ -132,18 +167,6 @@ def purchase_behavior(ctx: SegmentContext, tag: str, value=(), web=None, more=No
         )
         every = member_totals(ctx, [doc])[0].ids("member_id")
         return as_ids(joined.join(every, "member_id", "left_semi"), unique=True)
-    if tag in PRODUCT_COLUMNS:
-        wanted = ctx.tables("brand").where(among(F.col(PRODUCT_COLUMNS[tag]), value))
-        found = dated(bought.where(online)).join(
-            wanted.select("product_id"), "product_id", "left_semi"
-        )
-        grouped = found.groupBy("member_id").agg(
-            F.countDistinct("order_id").alias("orders"),
-            F.bool_and(cmp_predicate(F.col("sales"), **cost)).alias("every"),
-        )
-        return as_ids(
-            grouped.where(F.col("every") & cmp_predicate(F.col("orders"), **count)), unique=True
-        )
     if tag == "距離上次購買天數區隔":
         last = bought.where(online).groupBy("member_id").agg(F.max("date").alias("last"))
         days = F.date_diff(F.lit(end.date()), F.col("last"))
