@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitry.llm.bpe import bpe_digest
+from visitry.llm.quality_rules import judge_quality
 from visitry.llm.simhash import simhash_components
 from visitry.llm.text import table
 from visitry.llm.urls import host_of, judge_urls, path_of
@@ -45,6 +46,12 @@ FROM ruled
 """
 
 
+def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return judge_quality(table(spark, folder, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "p_good"
+    )
+
+
 def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash_components(table(spark, folder, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
@@ -60,5 +67,5 @@ def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_digest(table(spark, folder, "documents"), vocabulary_path())
 
 
-QUERIES = {f.__name__: f for f in (op1_url_cascade, op7_simhash, op9_bpe)}
+QUERIES = {f.__name__: f for f in (op1_url_cascade, op4_quality_rules, op7_simhash, op9_bpe)}
 ORACLES = {"op1_url_cascade": OP1_SQL}
