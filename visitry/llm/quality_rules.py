@@ -40,16 +40,16 @@ def _gone(text: Column, letters: str) -> Column:
     return F.length(text) - F.length(F.translate(text, letters, ""))
 
 
-def measures(docs: DataFrame) -> DataFrame:
-    """doc_id and the measures of the whole text, all long."""
+def measures(docs: DataFrame, keep: str = "doc_id") -> DataFrame:
+    """The column `keep` and the measures of the whole text, all long."""
     text = F.coalesce("text", F.lit(""))
     words = F.filter(F.split(text, SPACES + "+"), lambda w: w != "")
     lines = F.filter(F.split(text, "\n"), lambda x: F.translate(x, SPACE_CHARS, "") != "")
-    cut = docs.select("doc_id", text.alias("text"), words.alias("words"), lines.alias("lines"))
+    cut = docs.select(keep, text.alias("text"), words.alias("words"), lines.alias("lines"))
     starts = F.sequence(F.lit(1), F.size("words") - (WINDOW - 1))
     hashed = F.when(F.size("words") >= WINDOW, F.transform(starts, lambda i: F.xxhash64(F.slice("words", i, WINDOW))))
     cut = cut.select(
-        "doc_id",
+        keep,
         F.size("words").alias("n_words"),
         (F.length("text") - _gone(F.col("text"), SPACE_CHARS)).alias("word_chars"),
         _gone(F.col("text"), SYMBOLS).alias("n_symbols"),
@@ -75,8 +75,8 @@ def measures(docs: DataFrame) -> DataFrame:
         lambda a, s: F.struct(s.alias("last"), (a["n"] + F.least(F.lit(WINDOW), s - a["last"])).alias("n")),
         lambda a: a["n"],
     )
-    names = [c for c in cut.columns if c not in ("doc_id", "sorted")]
-    return cut.select("doc_id", *(F.col(c).cast("long") for c in names), F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"))
+    names = [c for c in cut.columns if c not in (keep, "sorted")]
+    return cut.select(keep, *(F.col(c).cast("long") for c in names), F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"))
 
 
 def _vote(good: Column, bad: Column) -> Column:
