@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitry.llm.bpe import bpe_digest
+from visitry.llm.classifier import classify_quality
+from visitry.llm.decontaminate import find_overlaps
+from visitry.llm.pii import extract_identifiers, span_digest
 from visitry.llm.quality_rules import judge_quality
 from visitry.llm.simhash import simhash_components
 from visitry.llm.text import table
@@ -46,12 +49,20 @@ FROM ruled
 """
 
 
+def op3_spaced_seeds(spark: SparkSession, folder: str) -> DataFrame:
+    return find_overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judge_quality(table(spark, folder, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "p_good"
     )
 
 
+def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return classify_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash_components(table(spark, folder, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
@@ -67,5 +78,10 @@ def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_digest(table(spark, folder, "documents"), vocabulary_path())
 
 
-QUERIES = {f.__name__: f for f in (op1_url_cascade, op4_quality_rules, op7_simhash, op9_bpe)}
+def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return span_digest(extract_identifiers(table(spark, folder, "documents")))
+
+
+ALL = (op1_url_cascade, op3_spaced_seeds, op4_quality_rules, op5_quality_classifier, op7_simhash, op9_bpe, op10_pii)
+QUERIES = {f.__name__: f for f in ALL}
 ORACLES = {"op1_url_cascade": OP1_SQL}
