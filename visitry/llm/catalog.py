@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from visitry.llm.bpe import bpe_digest
 from visitry.llm.classifier import classify_quality
 from visitry.llm.decontaminate import find_overlaps
+from visitry.llm.katz import katz_scores
 from visitry.llm.pii import extract_identifiers, span_digest
 from visitry.llm.quality_rules import judge_quality
 from visitry.llm.simhash import simhash_components
@@ -68,6 +69,10 @@ def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op8_katz(spark: SparkSession, folder: str) -> DataFrame:
+    return katz_scores(table(spark, folder, "documents"))
+
+
 def vocabulary_path() -> str:
     import public_tokenizers
 
@@ -82,6 +87,6 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     return span_digest(extract_identifiers(table(spark, folder, "documents")))
 
 
-ALL = (op1_url_cascade, op3_spaced_seeds, op4_quality_rules, op5_quality_classifier, op7_simhash, op9_bpe, op10_pii)
+ALL = (op1_url_cascade, op3_spaced_seeds, op4_quality_rules, op5_quality_classifier, op7_simhash, op8_katz, op9_bpe, op10_pii)
 QUERIES = {f.__name__: f for f in ALL}
 ORACLES = {"op1_url_cascade": OP1_SQL}
