@@ -9,6 +9,7 @@ from visitry.llm.bpe import bpe_digest
 from visitry.llm.classifier import classify_quality
 from visitry.llm.decontaminate import find_overlaps
 from visitry.llm.katz import katz_scores
+from visitry.llm.passages import repeated_passages
 from visitry.llm.pii import extract_identifiers, span_digest
 from visitry.llm.quality_rules import judge_quality
 from visitry.llm.simhash import simhash_components
@@ -50,6 +51,10 @@ FROM ruled
 """
 
 
+def op2_compact_windows(spark: SparkSession, folder: str) -> DataFrame:
+    return repeated_passages(table(spark, folder, "documents"))
+
+
 def op3_spaced_seeds(spark: SparkSession, folder: str) -> DataFrame:
     return find_overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -87,6 +92,6 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     return span_digest(extract_identifiers(table(spark, folder, "documents")))
 
 
-ALL = (op1_url_cascade, op3_spaced_seeds, op4_quality_rules, op5_quality_classifier, op7_simhash, op8_katz, op9_bpe, op10_pii)
+ALL = (op1_url_cascade, op2_compact_windows, op3_spaced_seeds, op4_quality_rules, op5_quality_classifier, op7_simhash, op8_katz, op9_bpe, op10_pii)
 QUERIES = {f.__name__: f for f in ALL}
 ORACLES = {"op1_url_cascade": OP1_SQL}
