@@ -13,6 +13,7 @@ from visitry.llm.passages import repeated_passages
 from visitry.llm.pii import extract_identifiers, span_digest
 from visitry.llm.quality_rules import judge_quality
 from visitry.llm.simhash import simhash_components
+from visitry.llm.suffixes import remove_repeats
 from visitry.llm.text import table
 from visitry.llm.urls import host_of, judge_urls, path_of
 
@@ -69,6 +70,10 @@ def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return classify_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op6_suffix_arrays(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_repeats(table(spark, folder, "documents"))
+
+
 def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash_components(table(spark, folder, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
@@ -92,6 +97,9 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     return span_digest(extract_identifiers(table(spark, folder, "documents")))
 
 
-ALL = (op1_url_cascade, op2_compact_windows, op3_spaced_seeds, op4_quality_rules, op5_quality_classifier, op7_simhash, op8_katz, op9_bpe, op10_pii)
+ALL = (
+    op1_url_cascade, op2_compact_windows, op3_spaced_seeds, op4_quality_rules, op5_quality_classifier,
+    op6_suffix_arrays, op7_simhash, op8_katz, op9_bpe, op10_pii,
+)
 QUERIES = {f.__name__: f for f in ALL}
 ORACLES = {"op1_url_cascade": OP1_SQL}
