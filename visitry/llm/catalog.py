@@ -74,6 +74,30 @@ def op6_suffix_arrays(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeats(table(spark, folder, "documents"))
 
 
+OP6_SQL = """
+WITH bytes AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, strlen(coalesce(text, '')) AS n FROM documents),
+stretch AS (
+  SELECT doc_id, k, md5_number(substring(x, 2 * k + 1, 400)) AS s
+  FROM (SELECT doc_id, x, unnest(range(0, n - 199)) AS k FROM bytes)),
+hit AS (SELECT doc_id, k FROM stretch WHERE s IN (SELECT s FROM stretch GROUP BY s HAVING count(*) > 1)),
+marked AS (
+  SELECT doc_id, k, CASE WHEN k <= lag(k) OVER (PARTITION BY doc_id ORDER BY k) + 200 THEN 0 ELSE 1 END AS fresh FROM hit),
+run AS (
+  SELECT doc_id, min(k) AS a, max(k) + 200 AS b
+  FROM (SELECT doc_id, k, sum(fresh) OVER (PARTITION BY doc_id ORDER BY k) AS r FROM marked) GROUP BY doc_id, r),
+gap AS (
+  SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS a, a AS b FROM run
+  UNION ALL SELECT doc_id, max(b), max(n) FROM run JOIN bytes USING (doc_id) GROUP BY doc_id),
+kept AS (
+  SELECT doc_id, string_agg(substring(x, 2 * a + 1, 2 * (b - a)), '' ORDER BY a, b) AS y FROM gap JOIN bytes USING (doc_id) GROUP BY doc_id),
+total AS (SELECT doc_id, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans FROM run GROUP BY doc_id)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(y, x))) AS kept_sha256
+FROM bytes LEFT JOIN kept USING (doc_id) LEFT JOIN total USING (doc_id)
+"""
+
+
 def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash_components(table(spark, folder, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
@@ -102,4 +126,4 @@ ALL = (
     op6_suffix_arrays, op7_simhash, op8_katz, op9_bpe, op10_pii,
 )
 QUERIES = {f.__name__: f for f in ALL}
-ORACLES = {"op1_url_cascade": OP1_SQL}
+ORACLES = {"op1_url_cascade": OP1_SQL, "op6_suffix_arrays": OP6_SQL}
