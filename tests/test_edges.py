@@ -321,11 +321,11 @@ def test_most_frequent_ties(spark):
     assert rows(aggregates.most_frequent(df, ["g"], "v")) == [("g", "a")]
 
 
-def test_pivot_refuses_wide_domains(spark):
-    df = spark.range(20).selectExpr("id % 2 AS k", "cast(id AS string) AS v")
-    with pytest.raises(ValueError):
-        aggregates.pivot_onehot(df, "k", "v", max_values=10)
-    assert len(aggregates.pivot_onehot(df, "k", "v").columns) == 21
+def test_pivot_of_any_domain(spark):
+    df = spark.range(3000).selectExpr("id % 2 AS k", "cast(id AS string) AS v").union(spark.sql("SELECT 0L, cast(null AS string)"))
+    found = {r.k: r.counts for r in aggregates.pivot_onehot(df, "k", "v").collect()}
+    assert {k: len(v) for k, v in found.items()} == {0: 1500, 1: 1500} and found[1]["2999"] == 1
+    assert rows(aggregates.pivot_onehot(df, "k", "v", ["0", "1"])) == [(0, 1, 0), (1, 0, 1)]
 
 
 def test_centroid_names(spark):
@@ -353,7 +353,7 @@ def test_fixed_scores(spark):
     assert [wide[1][f"product_{i}"] for i in range(1, 11)] == list(range(10))
     assert (wide[2].product_1, wide[2].product_2, wide[2].product_3, wide[2].rating3) == (7, 8, None, None)
     cohorts = spark.createDataFrame([(1, 10), (2, 10), (3, 10), (4, 11)], "member_id int, cohort int")
-    best = recommend.cohort_recs(recommend.recs_wide(scores), cohorts)
+    best = recommend.cohort_recs(recommend.rank_user_items(scores), cohorts)
     popular = spark.createDataFrame([(i, str(90 + i)) for i in range(1, 6)], "rank int, product_id string")
     final = {r.member_id: list(r)[1:] for r in recommend.recs_final(recommend.recs_wide(scores), best, popular, cohorts).collect()}
     assert final[1] == [0, 1, 2, 3, 4]

@@ -157,43 +157,40 @@ COHORT_WHOLE = COHORT_BEST.replace(BLEND, WHOLE_BLEND)
 
 query("cohort_recs", COHORT_WHOLE)(
     lambda t: recommend.cohort_recs(
-        recommend.recs_wide(_whole(_blend(t))), recommend.cohort_assign(t("member"))
+        recommend.rank_user_items(_whole(_blend(t))), recommend.cohort_assign(t("member"))
     )
 )
 POPULAR = """SELECT CAST(row_number() OVER (ORDER BY sum(count) DESC, product_id) AS INTEGER) AS rank, product_id, CAST(sum(count) AS BIGINT) AS total
     FROM purchase WHERE product_id NOT LIKE 'D%' GROUP BY product_id ORDER BY rank LIMIT 5"""
 query("popular_top5", POPULAR)(lambda t: recommend.popular_top(t("purchase")))
 
-# members of one level count as having no recommendations of their own
-OWN = WIDE.replace(BLEND, WHOLE_BLEND).replace("WHERE rank <= 10", "WHERE rank <= 10 AND member_id IN (SELECT member_id FROM member WHERE level <> 'BUILDING')")
-FEW = COHORT_WHOLE.replace("WHERE top <= 5", "WHERE top <= 3 AND cohort % 2 = 0")
+# the fallbacks arise where members have no scores, and cohorts few products
+OWN = WIDE.replace(BLEND, WHOLE_BLEND)
 _FINAL = ", ".join(
     f"CASE WHEN o.product_1 IS NOT NULL THEN o.product_{i} ELSE coalesce(c.product_{i},"
     f" (SELECT CAST(product_id AS INTEGER) FROM ({POPULAR}) p WHERE rank = {i})) END AS product_{i}"
     for i in range(1, 6)
 )
 RECS_FINAL = f"""
-    SELECT member_id, {_FINAL} FROM ({COHORT_SQL}) m LEFT JOIN ({OWN}) o USING (member_id) LEFT JOIN ({FEW}) c USING (cohort)"""
+    SELECT member_id, {_FINAL} FROM ({COHORT_SQL}) m LEFT JOIN ({OWN}) o USING (member_id) LEFT JOIN ({COHORT_WHOLE}) c USING (cohort)"""
 
 
 def _final(t: Tables):
-    recs, cohorts = recommend.recs_wide(_whole(_blend(t))), recommend.cohort_assign(t("member"))
-    own = recs.join(t("member").where("level <> 'BUILDING'").select("member_id"), "member_id", "left_semi")
-    # every other cohort is unknown, the known ones lack two places
-    few = recommend.cohort_recs(recs, cohorts).where("cohort % 2 = 0").withColumns(
-        {f"product_{i}": F.lit(None).cast("int") for i in (4, 5)}
-    )
-    return recommend.recs_final(own, few, recommend.popular_top(t("purchase")), cohorts)
+    ranked, cohorts = recommend.rank_user_items(_whole(_blend(t))), recommend.cohort_assign(t("member"))
+    best = recommend.cohort_recs(ranked, cohorts)
+    return recommend.recs_final(recommend.ranked_wide(ranked), best, recommend.popular_top(t("purchase")), cohorts)
 
 
 query("recs_final", RECS_FINAL)(_final)
-ACTUAL = """SELECT DISTINCT member_id, CAST(product_id AS INTEGER) AS item FROM purchase
-    WHERE member_id IS NOT NULL AND product_id NOT LIKE 'D%' AND date >= DATE '2001-01-01'"""
+ACTUAL = f"""SELECT member_id, product_id AS item FROM ({INTERACTIONS}) p
+    UNION SELECT member_id, product_id FROM ({CLICKS}) c WHERE product_id IS NOT NULL"""
 
 
 def _actual(t: Tables):
-    recent = t("purchase").where("member_id IS NOT NULL AND product_id NOT LIKE 'D%' AND date >= DATE '2001-01-01'")
-    return recent.select("member_id", F.col("product_id").cast("int").alias("item"))
+    bought = recommend.interactions_purchase(t("purchase"))
+    clicked = recommend.interactions_click(t("product_click"), t("cid_map"), t("brand"))
+    pairs = bought.unionByName(clicked).where("product_id IS NOT NULL")
+    return pairs.select("member_id", F.col("product_id").alias("item")).distinct()
 
 
 _HITS = f"""
@@ -222,8 +219,7 @@ RATED = f"""
     SELECT *, CASE WHEN CAST('0x' || substr(md5('{{"member_id":' || CAST(member_id AS VARCHAR) || ',"product_id":' || CAST(product_id AS VARCHAR) || '}}'), 1, 6) AS BIGINT)
         < 13421773 THEN 'train' ELSE 'test' END AS side FROM ({RATED}) r""")
 def _(t):
-    train, test = recommend.train_test_split(_ratings(t), ["member_id", "product_id"])
-    return train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
+    return recommend.split_sides(_ratings(t), ["member_id", "product_id"])
 
 
 @query("rec_rmse_mae")
@@ -266,7 +262,7 @@ query("user_features", """
     FROM member LEFT JOIN (SELECT member_id, count(*) FILTER (kind = 'click') AS click, count(*) FILTER (kind = 'error') AS error,
       count(*) FILTER (kind = 'purchase') AS purchase, count(*) FILTER (kind = 'signup') AS signup, count(*) FILTER (kind = 'view') AS view
       FROM case_event GROUP BY 1) e USING (member_id)""")(
-    lambda t: hybrid.user_features(t("member"), _tags(t), FEATURE_COLUMNS)
+    lambda t: hybrid.user_features(t("member"), _tags(t), FEATURE_COLUMNS, ("click", "error", "purchase", "signup", "view"))
 )
 
 

@@ -99,7 +99,7 @@ query("join_anti", """
     SELECT member_id FROM member WHERE member_id NOT IN
       (SELECT member_id FROM purchase WHERE member_id IS NOT NULL AND date >= DATE '2001-01-01')""")(
     lambda t: t("member").select("member_id").join(
-        t("purchase").where(F.col("date") >= F.lit(date(2001, 1, 1))), "member_id", "left_anti"
+        t("purchase").where(F.col("date") >= F.lit(date(2001, 1, 1))).select("member_id").distinct(), "member_id", "left_anti"
     )
 )
 RELATIONS_SQL = """
@@ -226,11 +226,12 @@ query("agg_collect", f"""
         ["member_id"], "rank", "product_id", "p",
     ).select("member_id", F.array_join(F.col("p").cast("array<string>"), ",").alias("products"))
 )
+EVENT_KINDS = ("click", "error", "purchase", "signup", "view")
 query("pivot_onehot", """
     SELECT line_id, count(*) FILTER (type = 'click') AS click, count(*) FILTER (type = 'error') AS error,
            count(*) FILTER (type = 'purchase') AS purchase, count(*) FILTER (type = 'signup') AS signup,
            count(*) FILTER (type = 'view') AS view FROM line_custom GROUP BY line_id""")(
-    lambda t: pivot_onehot(t("line_custom"), "line_id", "type")
+    lambda t: pivot_onehot(t("line_custom"), "line_id", "type", EVENT_KINDS)
 )
 query("grouping_total", f"""
     SELECT CAST(date AS VARCHAR) AS date, CASE WHEN grouping(gender) = 1 THEN '全' ELSE gender END AS gender,

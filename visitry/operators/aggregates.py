@@ -106,18 +106,17 @@ def grouping_total(
 
 
 def pivot_onehot(
-    df: DataFrame, key: str, col: str, values: Sequence[str] | None = None, max_values: int = 1000
+    df: DataFrame, key: str, col: str, values: Sequence[str] | None = None
 ) -> DataFrame:
-    """Count matrix key x value, zero-filled.
+    """Count matrix key x value, zero-filled: one column per value.
 
-    Without ``values`` the column's domain is read to the driver; a domain over
-    ``max_values`` is an error, as it would make an unusably wide table.
+    Without ``values`` the domain may be of any size and is never looked at as a
+    whole: the counts of a key are then one map ``counts``, without zeros.
     """
     if values is None:
-        found = df.select(col).where(F.col(col).isNotNull()).distinct().limit(max_values + 1)
-        values = sorted(row[0] for row in found.collect())
-        if len(values) > max_values:
-            raise ValueError(f"{col} has more than {max_values} values; name those wanted")
+        cells = df.where(F.col(key).isNotNull()).groupBy(key, col).agg(F.count("*").alias("n"))
+        entry = F.when(F.col(col).isNotNull(), F.struct(F.col(col).cast("string"), "n"))
+        return cells.groupBy(key).agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("counts"))
     cells = [F.count(F.when(F.col(col) == v, 1)).alias(str(v)) for v in values]
     return df.where(F.col(key).isNotNull()).groupBy(key).agg(*cells)
 

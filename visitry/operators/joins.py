@@ -11,24 +11,21 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-NULL_KEY_SALTS = 64
-
-
 def enrich_left(df: DataFrame, dim: DataFrame, on: Sequence[str]) -> DataFrame:
     """Left join where rows with a null key are kept but never match.
 
-    Null keys would all meet in one shuffle partition; a salt taken from the
-    row's other columns spreads them. ``dim`` rows with a null key are dropped.
+    Null keys would all meet in one shuffle partition; a digest of the row's
+    other columns spreads them over any number. ``dim`` rows with a null key are dropped.
     """
     on = list(on)
     missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on])
     present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in on])
     plain = [name for name, kind in df.dtypes if name not in on and "map" not in kind]
-    spread = F.pmod(F.xxhash64(*plain), F.lit(NULL_KEY_SALTS)) if plain else F.lit(0)
-    left = df.withColumn("_salt", F.when(missing, spread + 1).otherwise(0).cast("int"))
+    spread = F.xxhash64(*plain) if plain else F.lit(1).cast("bigint")
+    left = df.withColumn("_salt", F.when(missing, spread).otherwise(0))
     # always 0, but not a literal: a literal would be folded away and with it the
     # salt's part in the shuffle
-    right = dim.where(present).withColumn("_salt", F.pmod(F.hash(*on), F.lit(1)))
+    right = dim.where(present).withColumn("_salt", F.pmod(F.xxhash64(*on), F.lit(1)))
     return left.join(right, [*on, "_salt"], "left").drop("_salt")
 
 
@@ -57,12 +54,13 @@ def join_or_keys(
     """Distinct ``out`` of rows for which any of the ``either`` columns is in ``keys``.
 
     The alternatives become rows, so the OR is one equi semi join instead of a
-    nested loop or one join per alternative. ``keys`` has a single column.
+    nested loop or one join per alternative. ``keys`` has a single column; a key
+    that fills much of it is flattened before the join.
     """
     (key,) = keys.columns
     return (
         member.select(out, F.explode(F.array(*either)).alias("_key"))
-        .join(keys.withColumnRenamed(key, "_key"), "_key", "left_semi")
+        .join(keys.withColumnRenamed(key, "_key").distinct(), "_key", "left_semi")
         .select(out)
         .distinct()
     )
@@ -100,13 +98,15 @@ def keyed_delete(
     With ``children``: also drop the child rows named (``child_of`` column,
     prefix ``child_prefix``) by the rows being deleted; returns both tables.
     """
-    kept = df.join(ids.select(key), key, "left_anti").select(*df.columns)
+    ids = ids.select(key).distinct()
+    kept = df.join(ids, key, "left_anti").select(*df.columns)
     if children is None:
         return kept
     doomed = (
-        df.join(ids.select(key), key, "left_semi")
+        df.join(ids, key, "left_semi")
         .where(F.col(child_of).startswith(child_prefix))
         .select(F.col(child_of).alias(child_key))
+        .distinct()
     )
     return kept, children.join(doomed, child_key, "left_anti").select(*children.columns)
 

@@ -21,11 +21,11 @@ def union_distinct(*dfs: DataFrame) -> DataFrame:
 
 def set_intersect(a: DataFrame, b: DataFrame) -> DataFrame:
     """Rows of ``a`` that are in ``b`` (null keys never match)."""
-    return a.join(b, a.columns, "left_semi").distinct()
+    return a.join(b.distinct(), a.columns, "left_semi").distinct()
 
 
 def set_except(a: DataFrame, b: DataFrame) -> DataFrame:
-    return a.join(b, a.columns, "left_anti").distinct()
+    return a.join(b.distinct(), a.columns, "left_anti").distinct()
 
 
 @dataclass(frozen=True)

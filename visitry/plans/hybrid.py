@@ -44,9 +44,9 @@ def item_index(items: DataFrame, item: str = "item", out: str = "item_id") -> Da
 
 
 def user_features(
-    member: DataFrame, tags: DataFrame, columns: Sequence[str], values: Sequence[str] | None = None
+    member: DataFrame, tags: DataFrame, columns: Sequence[str], values: Sequence[str]
 ) -> DataFrame:
-    """Attributes without gaps, and one count column per tag value (0 where absent).
+    """Attributes without gaps, and one count column per tag of ``values`` (0 where absent).
 
     ``tags``: (member_id, tag). Unknown age is -1, other unknowns ``unknown``.
     """

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import age_bucket, exclude_product_code
 from ..operators.joins import join_lookup
-from ..operators.reshape import melt_wide, ranks_to_columns
+from ..operators.reshape import ranks_to_columns
 from ..operators.sets import union_all
 from ..operators.windows import cohort_id, number_rows, topk_global, topn_per_group
 from ..session import ensure_checkpoint_dir
@@ -140,7 +140,11 @@ def rank_user_items(scores: DataFrame, k: int = OWN_RANKS) -> DataFrame:
 
 def recs_wide(scores: DataFrame, k: int = OWN_RANKS) -> DataFrame:
     """One row per member: product_1..k and rating1..k."""
-    ranked = rank_user_items(scores, k)
+    return ranked_wide(rank_user_items(scores, k), k)
+
+
+def ranked_wide(ranked: DataFrame, k: int = OWN_RANKS) -> DataFrame:
+    """The same from rows that are ranked already."""
     return ranks_to_columns(
         ranked, ["member_id"], "rank", k, {"product_id": "product_", "rating": "rating"}
     )
@@ -155,16 +159,13 @@ def cohort_assign(member: DataFrame) -> DataFrame:
     )
 
 
-def cohort_recs(recs: DataFrame, cohorts: DataFrame, k: int = COHORT_RANKS) -> DataFrame:
-    """Best k products per cohort from its members' wide recommendations.
+def cohort_recs(ranked: DataFrame, cohorts: DataFrame, k: int = COHORT_RANKS) -> DataFrame:
+    """Best k products per cohort from its members' ranked recommendations.
 
     Ratings are summed per (cohort, product, rank); a product's best rank sum
     counts; the k greatest are kept, product id breaking ties.
     """
-    columns = [(f"product_{i}", f"rating{i}") for i in range(1, OWN_RANKS + 1)]
-    placed = recs.join(cohorts.where(F.col("cohort").isNotNull()), "member_id")
-    long = melt_wide(placed, ["cohort"], columns, ["product_id", "rating"], "rank")
-    # members with fewer recommendations leave empty places
+    long = ranked.join(cohorts.where(F.col("cohort").isNotNull()), "member_id")
     long = long.dropna(subset=["product_id", "rating"])
     sums = long.groupBy("cohort", "product_id", "rank").agg(F.sum("rating").alias("rating"))
     best = sums.groupBy("cohort", "product_id").agg(F.max("rating").alias("rating"))
@@ -211,8 +212,13 @@ def recs_final(
 def train_test_split(
     df: DataFrame, keys: Sequence[str], train: float = 0.8
 ) -> tuple[DataFrame, DataFrame]:
-    """Repeatable random split: a row's side depends on a digest of its keys alone."""
+    """The rows of either side, for callers who need two frames."""
+    sides = split_sides(df, keys, train)
+    return tuple(sides.where(F.col("side") == s).drop("side") for s in ("train", "test"))
+
+
+def split_sides(df: DataFrame, keys: Sequence[str], train: float = 0.8) -> DataFrame:
+    """Repeatable random split in one pass: a row's ``side`` depends on a digest of its keys alone."""
     text = F.to_json(F.struct(*keys), {"ignoreNullFields": "false"})
     slot = F.conv(F.substring(F.md5(text), 1, 6), 16, 10).cast("bigint")
-    cut = round(train * 16**6)
-    return df.where(slot < cut), df.where(slot >= cut)
+    return df.withColumn("side", F.when(slot < round(train * 16**6), "train").otherwise("test"))

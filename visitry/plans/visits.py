@@ -110,8 +110,11 @@ def relation_backfill(visits: DataFrame, scope: str) -> DataFrame:
     scope and is written to every row of the group.
     """
     if scope == "latest_day":
-        newest = visits.select(F.max(F.to_date("visittime")).alias("day")).scalar()
-        chosen = visits.where(F.to_date("visittime") == newest)
+        kind = dict(visits.dtypes)["visittime"]
+        newest = visits.agg(F.to_date(F.max("visittime")).alias("day")).scalar()
+        # bounds on the bare column, so that row groups can be skipped
+        start, end = newest.cast(kind), F.date_add(newest, 1).cast(kind)
+        chosen = visits.where((F.col("visittime") >= start) & (F.col("visittime") < end))
     elif scope == "unset":
         chosen = visits.where(F.col("relation_group").isNull())
     else:

@@ -141,6 +141,8 @@ def on_site(ctx: SegmentContext, tag: str, value=(), web="main", more=None, memb
         items = _titles(ctx, web, value)
     else:
         raise ValueError(f"unknown tag {tag!r}")
-    counts = views.join(items, "item", "left_semi").groupBy("cid").agg(F.count("item").alias("n"))
+    # counted per (visitor, item) first, so that the join sees one row per pair
+    pairs = views.groupBy("cid", "item").agg(F.count("item").alias("n"))
+    counts = pairs.join(items.distinct(), "item", "left_semi").groupBy("cid").agg(F.sum("n").alias("n"))
     enough = cmp_predicate(F.col("n"), op=limits.get("moreOrless"), value=limits.get("count"))
     return to_members(ctx, counts.where(enough), True, member)

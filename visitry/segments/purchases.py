@@ -160,7 +160,8 @@ def purchase_behavior(ctx: SegmentContext, tag: str, value=(), web=None, more=No
     if tag == "未購買的人":
         members = ctx.tables("member").where(online).select("member_id")
         # buyers are not restricted to the channel
-        return as_ids(members.join(dated(bought), "member_id", "left_anti"), unique=True)
+        buyers = dated(bought).select("member_id").distinct()
+        return as_ids(members.join(buyers, "member_id", "left_anti"), unique=True)
     if tag == FIRST_BUYERS:
         joined = dated(ctx.tables("member").where(online), "join_date").select(
             F.col("member_id").cast("string")
