@@ -79,10 +79,11 @@ def _(t):
 
 query("interactions_purchase", INTERACTIONS)(lambda t: recommend.interactions_purchase(t("purchase")))
 CLICKS = """
-    SELECT CAST(m.member_id AS INTEGER) AS member_id, TRY_CAST(b.product_id AS INTEGER) AS product_id, CAST(sum(n) AS INTEGER) AS total_count
+    SELECT m.member_id, b.product_id, CAST(sum(n) AS BIGINT) AS total_count
     FROM (SELECT cid, product_name, count(*) AS n FROM product_click
       WHERE event_name = 'select_product' AND product_price IS NOT NULL GROUP BY 1, 2) c
-    JOIN cid_map m USING (cid) JOIN brand b USING (product_name) GROUP BY m.member_id, b.product_id"""
+    JOIN cid_map m USING (cid)
+    JOIN (SELECT product_name, min(product_id) AS product_id FROM brand WHERE product_id NOT LIKE 'D%' GROUP BY 1) b USING (product_name) GROUP BY m.member_id, b.product_id"""
 query("interactions_click", CLICKS)(
     lambda t: recommend.interactions_click(t("product_click"), t("cid_map"), t("brand"))
 )
@@ -105,9 +106,10 @@ def _(t):
 
 @query("als_cv")
 def _(t):
-    # the full default grid is 36 fits; two points and folds show the search
-    best = recommend.als_cv(_ratings(t), {"rank": (5, 10), "regParam": (0.1,)}, folds=2, maxIter=5)
-    return recommend.als_scores(best.bestModel)
+    # the whole axes but for rank 2000, which is left to the caller
+    ratings, numbers = recommend.number_ids(_ratings(t))
+    best = recommend.als_cv(ratings, {**recommend.ALS_GRID, "rank": (10, 100)})
+    return recommend.named_ids(recommend.als_scores(best.bestModel), numbers)
 
 
 BLEND = """
@@ -182,15 +184,15 @@ def _final(t: Tables):
 
 
 query("recs_final", RECS_FINAL)(_final)
-ACTUAL = f"""SELECT member_id, product_id AS item FROM ({INTERACTIONS}) p
-    UNION SELECT member_id, product_id FROM ({CLICKS}) c WHERE product_id IS NOT NULL"""
+ACTUAL = f"""SELECT member_id, CAST(product_id AS INTEGER) AS item FROM ({INTERACTIONS}) p
+    UNION SELECT member_id, CAST(product_id AS INTEGER) FROM ({CLICKS}) c"""
 
 
 def _actual(t: Tables):
     bought = recommend.interactions_purchase(t("purchase"))
     clicked = recommend.interactions_click(t("product_click"), t("cid_map"), t("brand"))
-    pairs = bought.unionByName(clicked).where("product_id IS NOT NULL")
-    return pairs.select("member_id", F.col("product_id").alias("item")).distinct()
+    # the score tables hold product numbers
+    return bought.unionByName(clicked).select("member_id", F.col("product_id").cast("int").alias("item")).distinct()
 
 
 _HITS = f"""
@@ -216,7 +218,7 @@ RATED = f"""
 
 
 @query("train_test_split", f"""
-    SELECT *, CASE WHEN CAST('0x' || substr(md5('{{"member_id":' || CAST(member_id AS VARCHAR) || ',"product_id":' || CAST(product_id AS VARCHAR) || '}}'), 1, 6) AS BIGINT)
+    SELECT *, CASE WHEN CAST('0x' || substr(md5('{{"member_id":' || CAST(member_id AS VARCHAR) || ',"product_id":"' || product_id || '"}}'), 1, 6) AS BIGINT)
         < 13421773 THEN 'train' ELSE 'test' END AS side FROM ({RATED}) r""")
 def _(t):
     return recommend.split_sides(_ratings(t), ["member_id", "product_id"])
@@ -224,7 +226,7 @@ def _(t):
 
 @query("rec_rmse_mae")
 def _(t):
-    train, test = recommend.train_test_split(_ratings(t), ["member_id", "product_id"])
+    train, test = recommend.train_test_split(recommend.number_ids(_ratings(t))[0], ["member_id", "product_id"])
     return rec_rmse_mae(recommend.als_fit(train).transform(test))
 
 

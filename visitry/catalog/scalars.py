@@ -271,8 +271,7 @@ query("rfm_score", f"SELECT member_id, {rfm_sql()} FROM member_stat")(lambda t:
 query("rfm_score_fitted", f"SELECT member_id, {rfm_sql((8, 11), (2000000, 2800000))} FROM member_stat")(
     lambda t: _rfm(t, FITTED_CUTS)
 )
-INTERACTIONS = """SELECT CAST(member_id AS INTEGER) AS member_id, CAST(product_id AS INTEGER) AS product_id,
-      CAST(sum(count) AS INTEGER) AS total_count
+INTERACTIONS = """SELECT member_id, product_id, CAST(sum(count) AS BIGINT) AS total_count
     FROM purchase WHERE member_id IS NOT NULL AND product_id NOT LIKE 'D%' GROUP BY member_id, product_id"""
 query("quintile_rating", f"""
     SELECT i.*, 1 + (CASE WHEN total_count > q[1] THEN 1 ELSE 0 END) + (CASE WHEN total_count > q[2] THEN 1 ELSE 0 END)

@@ -27,19 +27,11 @@ ALS_GRID = {"rank": (10, 100, 2000), "regParam": (0.001, 0.01, 0.1)}
 
 
 def interactions_purchase(purchase: DataFrame) -> DataFrame:
-    """(member_id, product_id, total_count): pieces bought, coded products left out."""
+    """(member_id, product_id, total_count): pieces bought, coded products left out. Ids stay as they are."""
     known = purchase.where(
         F.col("member_id").isNotNull() & exclude_product_code(F.col("product_id"), "prefix")
     )
-    return (
-        known.groupBy("member_id", "product_id")
-        .agg(F.sum("count").alias("total_count"))
-        .select(
-            F.col("member_id").try_cast("int").alias("member_id"),
-            F.col("product_id").try_cast("int").alias("product_id"),
-            F.col("total_count").try_cast("int").alias("total_count"),
-        )
-    )
+    return known.groupBy("member_id", "product_id").agg(F.sum("count").cast("bigint").alias("total_count"))
 
 
 def interactions_click(
@@ -47,7 +39,8 @@ def interactions_click(
 ) -> DataFrame:
     """Clicks on priced products per (member, product); product names are mapped to ids.
 
-    Counted per (visitor, name) first, so the joins see one row per pair.
+    Counted per (visitor, name) first, so the joins see one row per pair. A name
+    of several products stands for the smallest id; coded products are left out.
     """
     clicks = web.where(
         (F.col("event_name") == event)
@@ -57,12 +50,10 @@ def interactions_click(
     pairs = clicks.groupBy("cid", "product_name").agg(F.count("*").alias("n"))
     members = join_lookup(pairs, cid_map.where(F.col("member_id").isNotNull()), "cid", "member_id")
     per_name = members.groupBy("member_id", "product_name").agg(F.sum("n").alias("total_count"))
-    products = brand.where(F.col("product_id").isNotNull()).select("product_name", "product_id")
-    return per_name.join(products, "product_name").select(
-        F.col("member_id").try_cast("int").alias("member_id"),
-        F.col("product_id").try_cast("int").alias("product_id"),
-        F.col("total_count").try_cast("int").alias("total_count"),
-    )
+    products = brand.where(F.col("product_id").isNotNull() & exclude_product_code(F.col("product_id"), "prefix"))
+    ids = products.groupBy("product_name").agg(F.min("product_id").alias("product_id"))
+    named = per_name.join(ids, "product_name")
+    return named.groupBy("member_id", "product_id").agg(F.sum("total_count").alias("total_count"))
 
 
 def _als(spark: SparkSession, **params) -> ALS:
@@ -91,26 +82,47 @@ def als_scores(model: ALSModel, k: int = OWN_RANKS) -> DataFrame:
     )
 
 
-def als_recommend(ratings: DataFrame, k: int = OWN_RANKS, **params) -> DataFrame:
-    """Fit and recommend. Ids that are not ints (texts, bigints) are numbered for the
-    fit, which takes 32-bit ids only, and given back in the result."""
-    wide = [c for c in ("member_id", "product_id") if dict(ratings.dtypes)[c] != "int"]
+def number_ids(ratings: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Ratings whose ids are ints, as the fit takes them, and (id, _n) of each numbered column."""
     numbers = {}
-    for c in wide:
-        ids = ratings.select(c).where(F.col(c).isNotNull()).distinct()
-        numbers[c] = number_rows(ids, [c], "_n").withColumn("_n", F.col("_n").cast("int"))
-        ratings = ratings.join(numbers[c], c).drop(c).withColumnRenamed("_n", c)
-    scores = als_scores(als_fit(ratings, **params), k)
-    for c in wide:
-        names = numbers[c].select(F.col(c).alias("_name"), F.col("_n").alias(c))
+    for c in ("member_id", "product_id"):
+        if dict(ratings.dtypes)[c] != "int":
+            ids = ratings.select(c).where(F.col(c).isNotNull()).distinct()
+            numbers[c] = number_rows(ids, [c], "_n").withColumn("_n", F.col("_n").cast("int"))
+            ratings = ratings.join(numbers[c], c).drop(c).withColumnRenamed("_n", c)
+    return ratings, numbers
+
+
+def named_ids(scores: DataFrame, numbers: Mapping[str, DataFrame]) -> DataFrame:
+    """Scores with the ids that ``number_ids`` numbered."""
+    for c, table in numbers.items():
+        names = table.select(F.col(c).alias("_name"), F.col("_n").alias(c))
         scores = scores.join(names, c).drop(c).withColumnRenamed("_name", c)
     return scores.select("member_id", "product_id", "rating")
 
 
+def als_recommend(ratings: DataFrame, k: int = OWN_RANKS, **params) -> DataFrame:
+    """Fit and recommend. Ids that are not ints (texts, bigints) are numbered for the
+    fit, which takes 32-bit ids only, and given back in the result."""
+    ratings, numbers = number_ids(ratings)
+    return named_ids(als_scores(als_fit(ratings, **params), k), numbers)
+
+
+def als_users(model: ALSModel, n: int) -> DataFrame:
+    """The n members who score highest for each product, as rows."""
+    found = model.recommendForAllItems(n)
+    return found.select("product_id", F.inline("recommendations")).select(
+        "member_id", "product_id", F.col("rating").cast("double").alias("rating")
+    )
+
+
 def als_cv(
-    ratings: DataFrame, grid: Mapping[str, Sequence] = ALS_GRID, folds: int = 4, **params
+    ratings: DataFrame, grid: Mapping[str, Sequence] = ALS_GRID, folds: int = 4, parallelism: int = 4, **params
 ) -> CrossValidatorModel:
-    """Hyperparameter search by RMSE; the grid is a parameter (rank 2000 is rarely affordable)."""
+    """Hyperparameter search by RMSE; the grid is a parameter (rank 2000 is rarely affordable).
+
+    A rating's fold depends on a digest of its ids, so every run has the same folds.
+    """
     spark = ratings.sparkSession
     ensure_checkpoint_dir(spark)
     als = _als(spark, **params)
@@ -119,9 +131,11 @@ def als_cv(
         builder = builder.addGrid(als.getParam(name), list(values))
     evaluator = RegressionEvaluator(metricName="rmse", labelCol="rating", predictionCol="prediction")
     known = ratings.dropna(subset=["member_id", "product_id"])
+    fold = F.pmod(F.xxhash64("member_id", "product_id"), F.lit(folds)).cast("int").alias("fold")
     return CrossValidator(
-        estimator=als, estimatorParamMaps=builder.build(), evaluator=evaluator, numFolds=folds, seed=0
-    ).fit(known.select("member_id", "product_id", "rating"))
+        estimator=als, estimatorParamMaps=builder.build(), evaluator=evaluator, numFolds=folds, seed=0,
+        foldCol="fold", parallelism=parallelism,
+    ).fit(known.select("member_id", "product_id", "rating", fold))
 
 
 def blend_recs(parts: Sequence[tuple[DataFrame, float]]) -> DataFrame:
