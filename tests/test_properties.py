@@ -268,6 +268,21 @@ def test_shared_passes_scan_each_table_once(tables):
     assert text.count("/events.parquet") == 4
 
 
+def test_users_for_items_from_the_model(spark, tables):
+    """The n best members of a product are those of the whole score matrix."""
+    from visitry.plans.recommend import als_fit, als_scores, als_users, number_ids
+
+    ratings = number_ids(tables("purchase_scores"))[0]
+    model = als_fit(ratings, rank=3, maxIter=2)
+    members = ratings.select("member_id").distinct().count()
+    every = {(r.product_id, r.member_id): r.rating for r in als_scores(model, ratings.select("product_id").distinct().count()).collect()}
+    best = als_users(model, 4).collect()
+    for product in {r.product_id for r in best}:
+        got = sorted((r.rating for r in best if r.product_id == product), reverse=True)
+        want = sorted((v for (p, _), v in every.items() if p == product), reverse=True)[: min(4, members)]
+        assert got == pytest.approx(want, rel=1e-5)
+
+
 def test_recommendations_for_text_ids(spark, tables):
     """Ids that are not 32-bit ints are numbered for the fit and come back unchanged."""
     from visitry.plans.recommend import als_recommend

@@ -17,6 +17,7 @@ from visitry.sources import (
     read_table,
     replace_partition,
     sink_append,
+    sink_jdbc,
     sink_replace,
 )
 
@@ -35,7 +36,25 @@ def test_append_skips_empty(spark, folder):
     assert not sink_append(df.where("n > 1"), f"{folder}/t")
     assert not os.path.exists(f"{folder}/t")
     assert sink_append(df, f"{folder}/t", ["d"]) and sink_append(df, f"{folder}/t", ["d"])
-    assert spark.read.parquet(f"{folder}/t").count() == 2
+    assert spark.read.parquet(f"{folder}/t").count() == 1  # a day loaded again replaces itself
+    assert sink_append(df, f"{folder}/plain") and sink_append(df, f"{folder}/plain")
+    assert spark.read.parquet(f"{folder}/plain").count() == 2
+
+
+def test_replace_clears_emptied_partitions(spark, folder):
+    path = f"{folder}/e"
+    df = spark.createDataFrame([(1, "2024-01"), (2, "2024-02"), (3, "2024-03")], "n int, month string")
+    sink_append(df, path, ["month"])
+    replace_partition(df.where("n = 3"), path, "month", ["2024-02", "2024-03", "2024-09"])
+    assert counts(spark.read.parquet(path), "month") == {"2024-01": 1, "2024-03": 1}
+
+
+def test_jdbc_writer_options(spark):
+    df = spark.range(1)
+    for bad in ({"mode": "replace"}, {"truncate": True}):
+        with pytest.raises(ValueError):
+            sink_jdbc(df, "jdbc:x:y", "t", **bad)
+    assert sink_jdbc(df, "jdbc:x:y", "t", "overwrite", truncate=True, batch_rows=50_000, user="u") is not None
 
 
 def test_append_writes_few_files_per_folder(spark, folder):

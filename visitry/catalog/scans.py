@@ -113,8 +113,9 @@ def _(t):
     )
     report = orders.groupBy("month", "status").agg(F.count("*").alias("n"))
     stale = report.withColumn("n", F.when(F.col("month") == "2000-05", 0).otherwise(F.col("n")).cast("bigint"))
-    replace_partition(stale, path, "month")
-    replace_partition(report.where(F.col("month") == "2000-05"), path, "month")
+    emptied = stale.where(F.col("month") == "2000-05").withColumn("month", F.lit("1900-01"))
+    replace_partition(stale.unionByName(emptied), path, "month")
+    replace_partition(report.where(F.col("month") == "2000-05"), path, "month", ["2000-05", "1900-01"])
     # the month is text, whatever it looks like in the folder names
     return t.spark.read.schema("status string, n bigint, month string").parquet(path)
 

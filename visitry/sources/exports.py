@@ -51,19 +51,23 @@ def number_batches(
 
 def export_batches(
     df: DataFrame, senders: DataFrame | None, path: str, channel: str, kind: str,
-    config: str | None = None, chunk: int = BATCH_ROWS, immediate: bool = False,
+    config: str | None = None, chunk: int = BATCH_ROWS, immediate: bool = False, run: str | None = None,
 ) -> None:
     """Write one CSV file per batch below ``path``; no rows, no files.
 
+    Each ``run`` has a folder of its own, which a rerun replaces.
+
     Batches are the unit of work: each is written by one task, all in parallel.
     """
     folder = "send-immediate" if immediate else "wait-send"
+    folder = f"{path}/{folder}/{channel}_{kind}" + (f"/run={run}" if run else "")
     (
         number_batches(df, senders, channel, kind, config, chunk)
         .repartition("batch")
-        .write.mode("append")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
         .option("maxRecordsPerFile", chunk)
         .option("header", True)
         .partitionBy("batch")
-        .csv(f"{path}/{folder}/{channel}_{kind}")
+        .csv(folder)
     )
