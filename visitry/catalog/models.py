@@ -104,6 +104,51 @@ def _(t):
     return recommend.als_recommend(quintile_rating(clicks, "total_count"))
 
 
+def _contract(recs, key="member_id", item="product_id"):
+    """Per member: products listed, how many of them differ, and whether all ratings are numbers of 0 or more."""
+    sound = F.coalesce(F.col("rating") >= 0, F.lit(False)) & ~F.isnan("rating")
+    return recs.groupBy(key).agg(
+        F.count("*").alias("listed"), F.countDistinct(item).alias("different"), F.bool_and(sound).alias("sound")
+    )
+
+
+def _contract_sql(interactions: str) -> str:
+    return f"""SELECT member_id, (SELECT least(10, count(DISTINCT product_id)) FROM ({interactions}) p) AS listed,
+      (SELECT least(10, count(DISTINCT product_id)) FROM ({interactions}) p) AS different, true AS sound
+    FROM ({interactions}) i GROUP BY member_id"""
+
+
+query("als_recommend_contract", _contract_sql(INTERACTIONS))(
+    lambda t: _contract(recommend.als_recommend(_ratings(t)))
+)
+query("als_click_contract", _contract_sql(CLICKS))(
+    lambda t: _contract(recommend.als_recommend(quintile_rating(
+        recommend.interactions_click(t("product_click"), t("cid_map"), t("brand")), "total_count"
+    )))
+)
+
+
+def _everything(t: Tables):
+    return recommend.recommend_all(t("purchase"), t("product_click"), t("cid_map"), t("brand"), t("member"))
+
+
+query("recommend_all", f"""
+    SELECT member_id, 5::BIGINT AS filled FROM ({COHORT_SQL}) c""")(
+    # every member of a cohort gets all places: its own list, its cohort's or the best sellers
+    lambda t: _everything(t).select(
+        "member_id", sum(F.col(f"product_{i}").isNotNull().cast("bigint") for i in range(1, 6)).alias("filled")
+    )
+)
+
+
+@query("recommend_all_hit_rate")
+def _(t):
+    bought = recommend.interactions_purchase(t("purchase"))
+    clicked = recommend.interactions_click(t("product_click"), t("cid_map"), t("brand"))
+    pairs = bought.unionByName(clicked).select("member_id", F.col("product_id").alias("item")).distinct()
+    return rec_hit_rate(_everything(t), pairs)
+
+
 @query("als_cv")
 def _(t):
     # the whole axes but for rank 2000, which is left to the caller

@@ -10,6 +10,7 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuil
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import age_bucket, exclude_product_code
+from ..operators.aggregates import quintile_rating
 from ..operators.joins import join_lookup
 from ..operators.reshape import ranks_to_columns
 from ..operators.sets import union_all
@@ -211,8 +212,9 @@ def recs_final(
     both = cohorts.join(mine, "member_id", "left").join(cohort.select("cohort", *names), "cohort", "left")
     has_own = F.col("own_product_1").isNotNull()
     # k rows folded to one struct: a single scalar subquery serves all ranks
+    kind = dict(own.dtypes)["product_1"]
     places = [
-        F.max(F.when(F.col("rank") == i, F.col("product_id").try_cast("int"))).alias(name)
+        F.max(F.when(F.col("rank") == i, F.col("product_id").try_cast(kind))).alias(name)
         for i, name in enumerate(names, start=1)
     ]
     sellers = popular.agg(F.struct(*places).alias("s")).scalar()
@@ -231,6 +233,25 @@ def train_test_split(
     return tuple(sides.where(F.col("side") == s).drop("side") for s in ("train", "test"))
 
 
+def recommend_all(
+    purchase: DataFrame, web: DataFrame, cid_map: DataFrame, brand: DataFrame, member: DataFrame, **params
+) -> DataFrame:
+    """The whole chain: fit purchases and clicks, blend, rank, and fill up from cohorts and best sellers.
+
+    One row per member of the cohorts with product_1..5. Ranks are stored once
+    and serve the members' own lists and those of the cohorts.
+    """
+    ensure_checkpoint_dir(purchase.sparkSession)
+    counts = {"purchase": interactions_purchase(purchase), "click": interactions_click(web, cid_map, brand)}
+    scores = [
+        (als_recommend(quintile_rating(df, "total_count"), **params), BLEND_WEIGHTS[name])
+        for name, df in counts.items()
+    ]
+    ranked = rank_user_items(blend_recs(scores)).checkpoint()
+    cohorts = cohort_assign(member)
+    return recs_final(ranked_wide(ranked), cohort_recs(ranked, cohorts), popular_top(purchase), cohorts)
+
+
 def split_sides(df: DataFrame, keys: Sequence[str], train: float = 0.8) -> DataFrame:
     """Repeatable random split in one pass: a row's ``side`` depends on a digest of its keys alone."""
     text = F.to_json(F.struct(*keys), {"ignoreNullFields": "false"})
