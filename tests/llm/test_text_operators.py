@@ -147,7 +147,9 @@ def test_base_spans_of_long_runs():
         pii.base_spans(t)
 
 
-def test_patterns_find_unseen_identifiers(make):
+@pytest.mark.parametrize("at_once", [200_000, 1])
+def test_patterns_find_unseen_identifiers(make, monkeypatch, at_once):
+    monkeypatch.setattr(pii, "PATTERNS_AT_ONCE", at_once)
     rows = [(k, f"please write to name{k}@mail.com today now") for k in range(5)] + [(k, "please write to name0@mail.com today now") for k in range(10, 30)]
     rows += [(50, "please write to joe@host today"), (51, "please write to 12:30pm today"), *ODD]
     found = pii.span_digest(pii.extract_identifiers(make(rows))).collect()

@@ -15,6 +15,7 @@ import json
 import struct
 
 import ahocorasick
+import numpy as np
 import regex
 from pyspark.sql import DataFrame
 
@@ -34,8 +35,8 @@ LATER = [
     (0x1E6E0, 0x1E6E2), (0x1E6E4, 0x1E6E5), (0x1E6E7, 0x1E6ED), (0x1E6F0, 0x1E6F4), (0x1E6FE, 0x1E6FF),
     (0x2B73A, 0x2B73F), (0x2B81E, 0x2B81E), (0x2CEA2, 0x2CEAD), (0x323B0, 0x33479), (0x3D000, 0x3FC3F),
 ]
-#: Pieces whose ids are remembered per Python worker; beyond that, remembering starts anew.
-REMEMBERED = 400_000
+#: Pieces whose ids, and pairs whose test, are remembered per Python worker; beyond that, remembering starts anew.
+REMEMBERED = 200_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -68,7 +69,7 @@ class Encoder:
         for rank, (a, b, ab) in enumerate(vocabulary["merges"]):
             self.pair[a, b] = rank
             self.rank[ab], self.parts[ab] = rank, (a, b)
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.fits: dict[int, bool] = {}
         self.known: dict[str, bytes] = {}
         self.whole, self.automaton = {}, ahocorasick.Automaton()
         for i, t in self.bytes.items():
@@ -112,7 +113,7 @@ class Encoder:
         last: list[int | None] = [None] * (len(data) + 1)
         back = [0] * (len(data) + 1)
         fits, follows = self.fits, self.follows
-        if len(fits) > 4 * REMEMBERED:
+        if len(fits) > REMEMBERED:
             fits.clear()
         for end, (size, token) in self.automaton.iter(data.decode("latin-1")):
             end += 1
@@ -123,9 +124,10 @@ class Encoder:
                 before = last[start]
                 if before is None:
                     continue
-                ok = fits.get((before, token))
+                pair = before << 32 | token
+                ok = fits.get(pair)
                 if ok is None:
-                    ok = fits[before, token] = follows(before, token)
+                    ok = fits[pair] = follows(before, token)
                 if not ok:
                     continue
             last[end], back[end] = token, start
@@ -184,7 +186,7 @@ def bpe_encode(docs: DataFrame, vocabulary: str) -> DataFrame:
     """doc_id, ids of the whole text. vocabulary: path of a byte-level BPE file; it is read on the driver."""
 
     def kind(encoder):
-        return lambda doc, text: (doc, [list(memoryview(encoder.encode(t)).cast("I")) for t in text])
+        return lambda doc, text: (doc, [np.frombuffer(encoder.encode(t), dtype="<i4") for t in text])
 
     return map_lists(docs, ["doc_id", "text"], "doc_id long, ids array<int>", _maker(docs, vocabulary, kind))
 

@@ -248,39 +248,45 @@ def redact(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     chunks.append(docs.sparkSession.sparkContext.broadcast(chunk))
     names = docs.columns
 
-    def found_with(shared):
+    def added(text, patterns):
+        """Kind, start and end of the unseen identifiers of a text, one after another."""
+        out, base = [], base_spans(text)
+        for start, end in other_words(text, base) if text and patterns else []:
+            kinds = [patterns[p] for p in _around(text, start, end) if p in patterns]
+            kinds = [k for k in kinds if shape_fits(k, text[start:end].lower())]
+            if kinds:
+                out += [min(kinds), start, end]
+        return out
+
+    def collecting(shared):
         def run(batches):
-            patterns = shared.value
             for batch in batches:
-                out = []
-                for text, spans in zip(batch.column(at).to_pylist(), batch.column(len(names)).to_pylist(), strict=True):
-                    spans, base = spans or [], base_spans(text)
-                    for start, end in other_words(text, base) if text and patterns else []:
-                        kinds = [patterns[p] for p in _around(text, start, end) if p in patterns]
-                        kinds = [k for k in kinds if shape_fits(k, text[start:end].lower())]
-                        if kinds:
-                            spans += [min(kinds), start, end]
-                    out.append(spans)
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out, pa.list_(pa.int32()))], names=[*names, "__added"])
+                texts, before = batch.column(at).to_pylist(), batch.column(len(names)).to_pylist()
+                spans = [b + added(t, shared.value) for t, b in zip(texts, before, strict=True)]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(spans, pa.list_(pa.int32()))], names=[*names, "__added"])
 
         return run
 
-    def replaced(batches):
-        for batch in batches:
-            out = []
-            for text, added in zip(batch.column(at).to_pylist(), batch.column(len(names)).to_pylist(), strict=True):
-                spans = base_spans(text) + [tuple(added[k : k + 3]) for k in range(0, len(added), 3)]
-                done, parts = 0, []
-                for start, _, kind, end in sorted((s, -e, k, e) for k, s, e in spans):
-                    if start >= done:
-                        parts += [text[done:start], f"<{KINDS[kind].upper()}>"]
-                    done = max(done, end)
-                out.append(text if not parts else "".join(parts) + text[done:])
-            columns = [*batch.columns[:-1]]
-            columns[at] = pa.array(out, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+    def replacing(shared):
+        def one(text, spans):
+            spans = base_spans(text) + [tuple(spans[k : k + 3]) for k in range(0, len(spans), 3)]
+            done, parts = 0, []
+            for start, _, kind, end in sorted((s, -e, k, e) for k, s, e in spans):
+                if start >= done:
+                    parts += [text[done:start], f"<{KINDS[kind].upper()}>"]
+                done = max(done, end)
+            return text if not parts else "".join(parts) + text[done:]
+
+        def run(batches):
+            for batch in batches:
+                texts, before = batch.column(at).to_pylist(), batch.column(len(names)).to_pylist()
+                columns = [*batch.columns[:-1]]
+                columns[at] = pa.array([one(t, b + added(t, shared.value)) for t, b in zip(texts, before, strict=True)], pa.string())
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+        return run
 
     found = docs.withColumn("__added", F.array().cast("array<int>"))
-    for k, shared in enumerate(chunks):
-        found = (stored(found, "found") if k else found).mapInArrow(found_with(shared), found.schema)
-    return found.mapInArrow(replaced, docs.schema)
+    for shared in chunks[:-1]:
+        found = stored(found.mapInArrow(collecting(shared), found.schema), "found")
+    return found.mapInArrow(replacing(chunks[-1]), docs.schema)
