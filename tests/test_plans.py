@@ -11,7 +11,8 @@ from visitry.catalog import nested
 SF_DIR = "/root/testdata/sf0.001"
 # these fit a model while they are built
 FITTED = {
-    "als_recommend", "als_recommend_click", "als_cv", "rec_rmse_mae", "hybrid_recommend", "rfm_kmeans",
+    "als_recommend", "als_recommend_click", "als_recommend_contract", "als_click_contract", "recommend_all",
+    "recommend_all_hit_rate", "als_cv", "rec_rmse_mae", "hybrid_recommend", "rfm_kmeans",
     "rfm_labels_kmeans",
 }
 FORBIDDEN = (
