@@ -243,7 +243,8 @@ def _parts(candidates: DataFrame) -> DataFrame:
 def removed_runs(texts: DataFrame) -> DataFrame:
     """text_id, n_removed, n_spans, kept_sha256 of the distinct texts in which something repeats."""
     anchors = _anchor_table(texts)
-    grams = anchors.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
+    # stored, so that both sides of the join come straight from their shuffle and a hot gram's side can be split
+    grams = stored(anchors.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram"), "grams")
     repeated = anchors.join(grams, "gram").select("text_id", "place").distinct()
     one = texts.where("text_id IS NOT NULL").select("text_id", "text").dropDuplicates(["text_id"])
     candidates = _context_table(one, repeated)
