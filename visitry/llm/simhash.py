@@ -72,7 +72,8 @@ def fingerprint_links(prints: DataFrame, blocks: int = BLOCKS) -> DataFrame:
         "fingerprint",
         F.explode(F.array(*(F.struct(F.lit(i).alias("choice"), F.lit(m).alias("mask")) for i, m in enumerate(masks)))).alias("m"),
     ).select("fingerprint", "m.choice", (F.col("fingerprint").bitwiseAND(F.col("m.mask"))).alias("key"), "m.mask")
-    sizes = keyed.groupBy("choice", "key").count().where("count > 1")
+    # stored, so that both sides of the join come straight from their shuffle and a hot bucket's side can be split
+    sizes = stored(keyed.groupBy("choice", "key").count().where("count > 1"), "sizes")
     keyed = stored(keyed.join(sizes, ["choice", "key"]), "buckets")
     small = keyed.where(F.col("count") <= CROWDED)
     left = small.select("choice", "key", F.col("fingerprint").alias("a"))
