@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.recommendation import ALS
+from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators.aggregates import pivot_onehot
@@ -92,36 +92,71 @@ def hybrid_recommend(
         userCol="member_id", itemCol="item_id", ratingCol="ratings", implicitPrefs=True,
         rank=rank, seed=42, **settings,
     ).fit(interactions)
-    own = model.recommendForAllUsers(k).select("member_id", F.inline("recommendations")).select(
-        "member_id", "item_id", F.col("rating").cast("double").alias("score")
-    )
-    # scoring all pairs is the costly step and its result is read several times
-    own = own.checkpoint()
+    return recommend_with_means(model, users, items, k)
+
+
+def recommend_with_means(model: ALSModel, users: DataFrame, items: DataFrame, k: int = TOP_ITEMS) -> DataFrame:
+    """``hybrid_recommend`` of a fitted model.
 
-    # new items of one token tie, so only the first k of each can be among a user's best k
-    cold = items.join(interactions.select("item_id").distinct(), "item_id", "left_anti")
+    Scores are linear in the factors, so the mean score of a token is the score of its mean factors: these are
+    further items and users, and all are scored over the whole catalog before anything is ranked.
+    """
+    ensure_checkpoint_dir(users.sparkSession)
+    known_users = model.userFactors.withColumnRenamed("id", "member_id")
+    known_items = model.itemFactors.withColumnRenamed("id", "item_id")
+
+    # new items of one token tie, so one mean stands for them and only the first k of each can be among a best k
+    cold = items.join(known_items, "item_id", "left_anti")
     cold = topn_per_group(cold, ["token"], [F.asc("item_id")], k).drop("rank")
-    by_token = own.join(items, "item_id").groupBy("member_id", "token").agg(
-        F.avg("score").alias("score")
+    lent = _mean_factors(known_items.join(items.distinct(), "item_id"), model.rank, "token")
+    lent = lent.join(cold.select("token").distinct(), "token", "left_semi")
+    scored = known_items.select("item_id", F.lit(None).cast("string").alias("token"), "features").unionByName(
+        lent.select(F.lit(None).cast("int").alias("item_id"), "token", "features")
     )
-    lent = by_token.join(cold, "token").select("member_id", "item_id", "score")
-    known = _best(own.unionByName(lent), k).drop("rank").checkpoint()
-
-    newcomers = users.join(known.select("member_id").distinct(), "member_id", "left_anti")
-    placed = known.join(users, "member_id")
-    cohort = placed.groupBy("token", "item_id").agg(F.avg("score").alias("score"))
-    cohort = topn_per_group(cohort, ["token"], [F.desc("score"), F.asc("item_id")], k).drop("rank")
-    overall = known.groupBy("item_id").agg(F.sum("score").alias("score"))
-    overall = overall.orderBy(F.desc("score"), F.asc("item_id")).limit(k)
-    listed = overall.agg(F.collect_list(F.struct("item_id", "score")).alias("l")).scalar()  # k entries
-    with_token = newcomers.join(cohort, "token")
-    without = newcomers.join(cohort.select("token").distinct(), "token", "left_anti")
-    filled = with_token.select("member_id", "item_id", "score").unionByName(
-        without.select("member_id", listed.alias("_l")).select("member_id", F.inline("_l"))
+    scored = number_rows(scored, ["token", "item_id"], "id").checkpoint()
+    standing = scored.where(F.col("item_id").isNotNull()).select("id", F.col("item_id").alias("_item"))
+    standing = standing.unionByName(
+        scored.where(F.col("item_id").isNull()).join(cold, "token").select("id", cold["item_id"].alias("_item"))
     )
+
+    def best(factors: DataFrame, key: str) -> DataFrame:
+        """(key, item_id, score): the best k items of every (id, features)."""
+        listed = _model_of(model, factors, scored.select(F.col("id").cast("int"), "features")).recommendForAllUsers(k)
+        pairs = listed.select("member_id", F.inline("recommendations"))
+        pairs = pairs.select(F.col("member_id").alias(key), F.col("item_id").alias("id"), F.col("rating").cast("double").alias("score"))
+        pairs = pairs.join(standing, "id").select(key, F.col("_item").alias("item_id"), "score")
+        return topn_per_group(pairs, [key], [F.desc("score"), F.asc("item_id")], k).drop("rank")
+
+    known = best(model.userFactors, "member_id")
+
+    newcomers = users.join(known_users, "member_id", "left_anti")
+    by_token = _mean_factors(known_users.join(users.distinct(), "member_id"), model.rank, "token")
+    by_token = by_token.join(newcomers.select("token").distinct(), "token", "left_semi")
+    overall = _mean_factors(known_users, model.rank).where("features[0] IS NOT NULL")
+    groups = by_token.unionByName(overall.withColumn("token", F.lit(None).cast("string")))
+    groups = number_rows(groups, ["token"], "id").checkpoint()
+    lists = best(groups.select(F.col("id").cast("int"), "features"), "group").checkpoint()
+    groups = groups.select("token", F.col("id").cast("int").alias("group"))
+    everybody = groups.where(F.col("token").isNull()).select("group").scalar()  # one row
+    placed = newcomers.join(groups, "token", "left").select("member_id", F.coalesce("group", everybody).alias("group"))
+    filled = placed.join(lists, "group").select("member_id", "item_id", "score")
     return _best(known.unionByName(filled), k)
 
 
+def _mean_factors(factors: DataFrame, rank: int, *keys: str) -> DataFrame:
+    """(keys, features): mean factors of each group."""
+    means = F.array(*(F.avg(F.col("features")[i]).cast("float") for i in range(rank)))
+    return factors.groupBy(*keys).agg(means.alias("features"))
+
+
+def _model_of(model: ALSModel, users: DataFrame, items: DataFrame) -> ALSModel:
+    """The model with other factors, (id, features) each."""
+    java = users.sparkSession._jvm.org.apache.spark.ml.recommendation.ALSModel(
+        model.uid, model.rank, users._jdf, items._jdf
+    )
+    return ALSModel(java.setUserCol("member_id").setItemCol("item_id"))
+
+
 def topk_items_wide(scores: DataFrame, names: DataFrame, k: int = TOP_ITEMS) -> DataFrame:
     """One row per member with the names of its k best items.
 
