@@ -2,10 +2,11 @@
 
 One pass over the whole texts writes, for every document, the spans that the expressions find and all other words
 that hold a digit or an @, each with the words around it. From there on only this small table is read: values and
-patterns are the two sides of a graph, and confidence goes back and forth between them for ROUNDS rounds, as joins
+patterns are the two sides of a graph, and confidence goes back and forth between them in rounds, as joins
 and sums over distinct (value, pattern) links, so a thousand copies of a document count once. A pattern is trusted
-if SUPPORT different seeds of a kind stand in it and TRUST of its values are of that kind. A word in a trusted
-pattern that has the kind's shape becomes a span of that kind.
+if SUPPORT different values of a kind stand in it, seeds or values that an earlier round made sure by TRUST, and TRUST
+of its values are of that kind. So found identifiers lead to further patterns; after ROUNDS, rounds go on until one
+adds no trusted pattern. A word in a trusted pattern that has the kind's shape becomes a span of that kind.
 
 Offsets are code points, the end is exclusive. Null and empty texts have no spans. Rows are kept apart also where
 they repeat a doc_id; columns other than doc_id and text are not read.
@@ -27,6 +28,8 @@ KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 3
 SUPPORT = 3
 TRUST = 0.8
+#: Sums of shares depend on their order by less than this.
+SLACK = 1e-9
 #: Trusted patterns that are sent to the tasks at once when texts are redacted; more need a further pass.
 PATTERNS_AT_ONCE = 200_000
 
@@ -171,6 +174,17 @@ def find_marks(docs: DataFrame) -> DataFrame:
     return stored(marked.withColumn("row", F.monotonically_increasing_id()), "marks")
 
 
+def _trusted(scores: DataFrame) -> DataFrame:
+    """pattern, kind of the patterns whose best kind has SUPPORT and TRUST."""
+    # the kind with the largest share decides, the first of equals
+    sides = [
+        F.struct((F.col(f"c{k}") / F.col("n")).alias("share"), F.lit(-k).alias("first"), F.col(f"s{k}").alias("support"), F.lit(k).alias("kind"))
+        for k in range(len(KINDS))
+    ]
+    best = F.array_max(F.filter(F.array(*sides), lambda s: s["support"] >= SUPPORT))
+    return scores.withColumn("best", best).where(F.col("best.share") >= TRUST - SLACK).select("pattern", F.col("best.kind").alias("kind"))
+
+
 def trusted_patterns(marks: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """pattern, kind: what the graph of values and patterns makes certain."""
     seen = marks.select(F.explode("seen").alias("s")).select("s.*")
@@ -178,30 +192,30 @@ def trusted_patterns(marks: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     sure = [F.when(F.col("kind") == k, 1.0).otherwise(0.0).alias(f"c{k}") for k in range(len(KINDS))]
     seeds = links.where("kind >= 0").select("value", "pattern", F.lit(True).alias("seed"), *sure)
     open_links = links.where("kind < 0")
-    confidence, scores = None, None
-    for _ in range(rounds):
+    confidence, count, done = None, -1, 0
+    while True:
         none = [F.lit(0.0).alias(f"c{k}") for k in range(len(KINDS))]
         others = open_links.select("value", "pattern", F.lit(False).alias("seed"), *none)
         if confidence is not None:
             some = [F.coalesce(f"c{k}", F.lit(0.0)).alias(f"c{k}") for k in range(len(KINDS))]
             others = open_links.join(confidence, "value", "left").select("value", "pattern", F.lit(False).alias("seed"), *some)
         sums = [F.sum(f"c{k}").alias(f"c{k}") for k in range(len(KINDS))]
-        support = [F.sum(F.when(F.col("seed"), F.col(f"c{k}")).otherwise(0.0)).alias(f"s{k}") for k in range(len(KINDS))]
+        # values that an earlier round made sure count as seeds do
+        counts = [F.when(F.col("seed"), F.col(f"c{k}")).when(F.col(f"c{k}") >= TRUST - SLACK, 1.0).otherwise(0.0) for k in range(len(KINDS))]
+        support = [F.sum(c).alias(f"s{k}") for k, c in enumerate(counts)]
         scores = seeds.union(others).groupBy("pattern").agg(F.count(F.lit(1)).alias("n"), *sums, *support)
         scores = stored(scores.where(F.greatest(*(f"s{k}" for k in range(len(KINDS)))) >= SUPPORT), "scores")
+        trusted = _trusted(scores)
+        before, count, done = count, trusted.count(), done + 1
+        # confidence never falls, so a pattern once trusted stays and an equal count is an equal set
+        if done >= rounds and count == before:
+            return trusted
         # a value is as sure as the best of its patterns, for kinds whose shape it has
         shares = [
             F.max(F.when((F.col("fits").bitwiseAND(F.lit(1 << k)) != 0) & (F.col(f"s{k}") >= SUPPORT), F.col(f"c{k}") / F.col("n")).otherwise(0.0)).alias(f"c{k}")
             for k in range(len(KINDS))
         ]
         confidence = stored(open_links.join(scores, "pattern").groupBy("value").agg(*shares), "confidence")
-    # the kind with the largest share decides, the first of equals
-    sides = [
-        F.struct((F.col(f"c{k}") / F.col("n")).alias("share"), F.lit(-k).alias("first"), F.col(f"s{k}").alias("support"), F.lit(k).alias("kind"))
-        for k in range(len(KINDS))
-    ]
-    best = F.array_max(F.filter(F.array(*sides), lambda s: s["support"] >= SUPPORT))
-    return scores.withColumn("best", best).where(F.col("best.share") >= TRUST).select("pattern", F.col("best.kind").alias("kind"))
 
 
 def _said(spans: Column) -> Column:
