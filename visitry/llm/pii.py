@@ -1,12 +1,12 @@
 """Personal data: fixed expressions give seeds, seeds give lexical patterns, good patterns give unseen identifiers.
 
 One pass over the whole texts writes, for every document, the spans that the expressions find and all other words
-that hold a digit or an @, each with the words around it. From there on only this small table is read: values and
+that hold a digit or an @ and all runs of digit groups, each with the words around it. From there on only this small table is read: values and
 patterns are the two sides of a graph, and confidence goes back and forth between them in rounds, as joins
 and sums over distinct (value, pattern) links, so a thousand copies of a document count once. A pattern is trusted
 if SUPPORT different values of a kind stand in it, seeds or values that an earlier round made sure by TRUST, and TRUST
 of its values are of that kind. So found identifiers lead to further patterns; after ROUNDS, rounds go on until one
-adds no trusted pattern. A word in a trusted pattern that has the kind's shape becomes a span of that kind.
+adds no trusted pattern. A word or run in a trusted pattern that has the kind's shape becomes a span of that kind.
 
 Offsets are code points, the end is exclusive. Null and empty texts have no spans. Rows are kept apart also where
 they repeat a doc_id; columns other than doc_id and text are not read.
@@ -40,6 +40,8 @@ _IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _MARK = re.compile(r"[0-9@][^\x20\x09-\x0D]*")
+#: A maximal run of digit groups joined by a space, dot, hyphen, slash or bracket.
+_GROUPS = re.compile(r"(?<![\w@+])[(+]?(?<![0-9])[0-9]++(?:(?:[\x20./-]|\)[\x20./-]?|[\x20./-]?\()[0-9]++)+(?![\w@])")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _SPACES = " \t\n\x0b\x0c\r"
 _EDGES = ".,;:!?\"'()[]{}<>"
@@ -112,7 +114,7 @@ def _around(text: str, start: int, end: int) -> list[str]:
 
 
 def other_words(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-    """Words with a digit or an @ that touch no span, without punctuation at their edges."""
+    """Words with a digit or an @ that touch no span, without punctuation at their edges, and digit groups over several words."""
     found, done = [], 0
     taken = sorted((s, e) for _, s, e in spans)
     for m in _MARK.finditer(text):
@@ -130,6 +132,20 @@ def other_words(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int,
             taken.pop(0)
         if end - start >= 5 and not (taken and taken[0][0] < end):
             found.append((start, end))
+    return sorted(found + _groups(text, spans))
+
+
+def _groups(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """Runs of digit groups with a space inside, which are no single word, that touch no span."""
+    found, taken = [], sorted((s, e) for _, s, e in spans)
+    at = 0
+    for m in _GROUPS.finditer(text):
+        start, end = m.span()
+        start += m.group().startswith("(") and ")" not in m.group()
+        while at < len(taken) and taken[at][1] <= start:
+            at += 1
+        if end - start >= 5 and " " in m.group() and not (at < len(taken) and taken[at][0] < end):
+            found.append((start, end))
     return found
 
 
