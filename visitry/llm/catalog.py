@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from visitry.llm.bpe import bpe_digest
 from visitry.llm.classifier import classify_quality
+from visitry.llm.conversation_sql import TRIE_SQL
 from visitry.llm.decontaminate import find_overlaps
 from visitry.llm.katz import katz_scores
 from visitry.llm.passages import repeated_passages
@@ -15,6 +16,7 @@ from visitry.llm.quality_rules import judge_quality
 from visitry.llm.simhash import simhash_components
 from visitry.llm.suffixes import remove_repeats
 from visitry.llm.text import table
+from visitry.llm.trie import conversation_trie
 from visitry.llm.urls import host_of, judge_urls, path_of
 
 URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
@@ -121,9 +123,13 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     return span_digest(extract_identifiers(table(spark, folder, "documents")))
 
 
+def op13_zfast_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_trie(table(spark, folder, "conversations"))
+
+
 ALL = (
     op1_url_cascade, op2_compact_windows, op3_spaced_seeds, op4_quality_rules, op5_quality_classifier,
-    op6_suffix_arrays, op7_simhash, op8_katz, op9_bpe, op10_pii,
+    op6_suffix_arrays, op7_simhash, op8_katz, op9_bpe, op10_pii, op13_zfast_trie,
 )
 QUERIES = {f.__name__: f for f in ALL}
-ORACLES = {"op1_url_cascade": OP1_SQL, "op6_suffix_arrays": OP6_SQL}
+ORACLES = {"op1_url_cascade": OP1_SQL, "op6_suffix_arrays": OP6_SQL, "op13_zfast_trie": TRIE_SQL}
