@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from visitry.llm.bpe import bpe_digest
 from visitry.llm.classifier import classify_quality
-from visitry.llm.conversation_sql import TRIE_SQL
+from visitry.llm.conversation_sql import REPAIR_SQL, TRIE_SQL
 from visitry.llm.decontaminate import find_overlaps
 from visitry.llm.katz import katz_scores
 from visitry.llm.passages import repeated_passages
 from visitry.llm.pii import extract_identifiers, span_digest
 from visitry.llm.quality_rules import judge_quality
+from visitry.llm.repair import damage, repair_digest
 from visitry.llm.simhash import simhash_components
 from visitry.llm.suffixes import remove_repeats
 from visitry.llm.text import table
@@ -123,13 +124,17 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     return span_digest(extract_identifiers(table(spark, folder, "documents")))
 
 
+def op12_path_ranking(spark: SparkSession, folder: str) -> DataFrame:
+    return repair_digest(damage(table(spark, folder, "conversations")))
+
+
 def op13_zfast_trie(spark: SparkSession, folder: str) -> DataFrame:
     return conversation_trie(table(spark, folder, "conversations"))
 
 
 ALL = (
     op1_url_cascade, op2_compact_windows, op3_spaced_seeds, op4_quality_rules, op5_quality_classifier,
-    op6_suffix_arrays, op7_simhash, op8_katz, op9_bpe, op10_pii, op13_zfast_trie,
+    op6_suffix_arrays, op7_simhash, op8_katz, op9_bpe, op10_pii, op12_path_ranking, op13_zfast_trie,
 )
 QUERIES = {f.__name__: f for f in ALL}
-ORACLES = {"op1_url_cascade": OP1_SQL, "op6_suffix_arrays": OP6_SQL, "op13_zfast_trie": TRIE_SQL}
+ORACLES = {"op1_url_cascade": OP1_SQL, "op6_suffix_arrays": OP6_SQL, "op12_path_ranking": REPAIR_SQL, "op13_zfast_trie": TRIE_SQL}
