@@ -17,6 +17,7 @@ from visitry.llm.repair import damage, repair_digest
 from visitry.llm.simhash import simhash_components
 from visitry.llm.suffixes import remove_repeats
 from visitry.llm.text import table
+from visitry.llm.toxicity import score_toxicity
 from visitry.llm.trie import conversation_trie
 from visitry.llm.urls import host_of, judge_urls, path_of
 
@@ -124,6 +125,10 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     return span_digest(extract_identifiers(table(spark, folder, "documents")))
 
 
+def op11_clause_grammar(spark: SparkSession, folder: str) -> DataFrame:
+    return score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op12_path_ranking(spark: SparkSession, folder: str) -> DataFrame:
     return repair_digest(damage(table(spark, folder, "conversations")))
 
@@ -134,7 +139,8 @@ def op13_zfast_trie(spark: SparkSession, folder: str) -> DataFrame:
 
 ALL = (
     op1_url_cascade, op2_compact_windows, op3_spaced_seeds, op4_quality_rules, op5_quality_classifier,
-    op6_suffix_arrays, op7_simhash, op8_katz, op9_bpe, op10_pii, op12_path_ranking, op13_zfast_trie,
+    op6_suffix_arrays, op7_simhash, op8_katz, op9_bpe, op10_pii, op11_clause_grammar,
+    op12_path_ranking, op13_zfast_trie,
 )
 QUERIES = {f.__name__: f for f in ALL}
 ORACLES = {"op1_url_cascade": OP1_SQL, "op6_suffix_arrays": OP6_SQL, "op12_path_ranking": REPAIR_SQL, "op13_zfast_trie": TRIE_SQL}
