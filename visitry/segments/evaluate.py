@@ -7,9 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import parse_json_column, value_map
-from ..operators.sets import Filtered, fold_membership, fold_memberships
+from ..operators.sets import Filtered, fold_membership
 from .context import SegmentContext, as_ids, no_ids, rows_of
 from .families import rule_sources
+from .index import indexed_members
 
 # How a rule combines with those before it; other modes do nothing.
 MODES = {"初": "or", "或": "or", "且": "and"}
@@ -102,14 +103,12 @@ def segment_include_exclude(
 
 
 def _content_members(ctx: SegmentContext, labels: Sequence[str]) -> DataFrame:
-    """(member_id, labelId) of labels given by rules, in one shuffle.
+    """(member_id, labelId) of labels given by rules, looked up in an index of all their rules.
 
     A label without rules (deleted, say) has no members.
     """
-    groups = _folds(ctx, {label: ctx.contents.get(label, ()) for label in labels})
-    if not groups:
-        return no_ids(ctx).df.withColumn("labelId", F.lit(None).cast("string"))
-    return fold_memberships(groups, "member_id", "labelId")
+    folds = {label: [(r, MODES[r["mode"]]) for r in ctx.contents.get(label, ()) if r["mode"] in MODES] for label in labels}
+    return indexed_members(ctx, folds)
 
 
 def label_catalog(docs: DataFrame) -> DataFrame:
