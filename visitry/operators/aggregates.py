@@ -8,6 +8,7 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import round_half_even
+from .ordered import stored
 
 # Relations that decide a whole group's label, strongest first.
 RELATION_ORDER = ("家庭", "情侶", "朋友")
@@ -124,23 +125,28 @@ def pivot_onehot(
 def quantile_cuts(df: DataFrame, col: str, percents: Sequence[int] = (20, 40, 60, 80)) -> DataFrame:
     """One row ``q<percent>``: the smallest value covering that percent of the rows.
 
-    Exact at any size: a histogram (one row per distinct value, combined before
-    the shuffle) is accumulated instead of sketching or sorting the rows.
+    Exact at any size, in two levels: a histogram (one row per distinct value,
+    combined before the shuffle) is dealt by range and summed by part, a row for
+    each part; the sums tell which part holds a cut, and only there values are
+    accumulated. No task sees the histogram as a whole. It is written once, when
+    this is called. Nulls do not count; without values all cuts are null.
     """
-    histogram = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("v")).agg(
-        F.count("*").alias("n")
-    )
-    everything = Window.partitionBy(F.lit(0))
-    running = everything.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    summed = histogram.select(
-        "v", F.sum("n").over(running).alias("upto"), F.sum("n").over(everything).alias("total")
-    )
-    return summed.agg(
-        *[
-            F.min(F.when(F.col("upto") * 100 >= F.col("total") * p, F.col("v"))).alias(f"q{p}")
-            for p in percents
-        ]
-    )
+    histogram = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("v")).agg(F.count("*").alias("n"))
+    dealt = stored(histogram.repartitionByRange("v").withColumn("part", F.spark_partition_id()), "histogram")
+    order = Window.partitionBy(F.lit(0)).orderBy("part")  # a row for each part
+    sums = dealt.groupBy("part").agg(F.sum("n").alias("inside"))
+    before = F.coalesce(F.sum("inside").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    total = F.sum("inside").over(Window.partitionBy(F.lit(0)))
+    sums = sums.select("part", "inside", before.alias("before"), total.alias("total"))
+    cuts = F.explode(F.array(*[F.lit(p) for p in percents])).alias("p")
+    wanted = sums.select("part", "before", "inside", "total", cuts)
+    reached = (F.col("before") * 100 < F.col("total") * F.col("p")) & ((F.col("before") + F.col("inside")) * 100 >= F.col("total") * F.col("p"))
+    holding = F.broadcast(wanted.where(reached).select("part", "before", "total", "p"))  # a row for each cut
+    # the values of a part are counted up to each in turn, for a part's first cut only once
+    running = Window.partitionBy("part").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    held = dealt.join(holding.select("part").distinct(), "part", "left_semi").withColumn("upto", F.sum("n").over(running))
+    found = held.join(holding, "part").where((F.col("before") + F.col("upto")) * 100 >= F.col("total") * F.col("p"))
+    return found.agg(*[F.min(F.when(F.col("p") == p, F.col("v"))).alias(f"q{p}") for p in percents])
 
 
 def quintile_rating(

@@ -94,39 +94,25 @@ def number_in_order(df: DataFrame, keys: Sequence[str], order: Sequence[str], ou
 
 
 def next_in_order(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str = "next") -> DataFrame:
-    """`value` of the following row of the same key by `order`, null for a key's last row.
+    """`value` of the following row of the same key by `order`, null for a key's last row; a null key is a key too.
 
-    The look-ahead is made inside a task; the last row of a task takes its follower from the first row of the next.
+    A piece is what a task got by range of (keys, order); its rows are looked ahead in a window of the piece, and the
+    last of them takes its follower from the first row of the next piece, of which there is one row for each piece.
     """
-    kind = df.schema[value].dataType
-
-    def run(batches):
-        held, seq = None, 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            joined = batch if held is None else pa.concat_batches([held, batch])
-            held = joined.slice(joined.num_rows - 1)
-            if joined.num_rows > 1:
-                yield follow(joined, seq)
-                seq += joined.num_rows - 1
-        if held is not None:
-            column = held.column(held.schema.get_field_index(value))
-            yield _with(held, seq, {"_next": pa.nulls(1, column.type), "_edge": pa.array([True])})
-
-    def follow(rows, seq):
-        n = rows.num_rows - 1
-        column = rows.column(rows.schema.get_field_index(value)).slice(1)
-        same = ~key_starts(rows, keys, None)[1:]
-        following = pc.if_else(pa.array(same), column, pa.nulls(n, column.type))
-        return _with(rows.slice(0, n), seq, {"_next": following, "_edge": pa.array(np.zeros(n, dtype=bool))})
-
-    rows = _dealt(df, keys, order, run, [T.StructField("_next", kind), T.StructField("_edge", T.BooleanType())], "ahead")
-    heads = rows.where("_seq = 0").select("_piece", F.struct(*keys).alias("_key"), F.col(value).alias("_value"))
-    pieces = Window.partitionBy(F.lit(0)).orderBy("_piece")  # a row for each task
-    after = heads.select("_piece", F.lead("_key").over(pieces).alias("_key"), F.lead("_value").over(pieces).alias("_value"))
-    follower = F.when(F.col("_edge") & F.struct(*keys).eqNullSafe(F.col("_key")), F.col("_value")).otherwise(F.col("_next"))
-    return rows.join(F.broadcast(after), "_piece", "left").select(*(F.col(f"`{c}`") for c in df.columns), follower.alias(out))
+    by = [F.col(c) for c in (*keys, *order)]
+    key = F.struct(*keys)
+    # stored, as a second run would cut elsewhere
+    rows = stored(df.repartitionByRange(*by).withColumn("_piece", F.spark_partition_id()), "ahead")
+    heads = rows.groupBy("_piece").agg(F.min_by(F.struct(key.alias("key"), F.col(value).alias("value")), F.struct(*by)).alias("head"))
+    following = F.lead("head").over(Window.partitionBy(F.lit(0)).orderBy("_piece"))  # a row for each piece
+    heads = F.broadcast(heads.select("_piece", following.alias("_head")))
+    piece = Window.partitionBy("_piece").orderBy(*by)
+    inside = F.lead(F.struct(key.alias("key"), F.col(value).alias("value"))).over(piece)
+    # dealt by range of the piece: a task has one, or neighbours
+    paired = rows.repartitionByRange("_piece").withColumn("_next", inside).join(heads, "_piece", "left")
+    follower = F.coalesce("_next", "_head")
+    same = follower["key"].eqNullSafe(key)
+    return paired.select(*(F.col(f"`{c}`") for c in df.columns), F.when(same, follower["value"]).alias(out))
 
 
 def running(df: DataFrame, keys: Sequence[str], place: str, made: Mapping[str, tuple[Callable[[Column], Column], str]], block: int = 4096) -> DataFrame:

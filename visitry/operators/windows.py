@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import cap_duration
+from .ordered import next_in_order
 
 
 def dwell_time(
@@ -17,31 +18,21 @@ def dwell_time(
     tie: str,
     cap_s: float,
     out: str = "stay_time",
-    bucket_s: int = 60,
+    bucket_s: int | None = None,
 ) -> DataFrame:
     """Seconds to the session's next event, at most ``cap_s``; the last has none.
 
-    A session may hold any share of the rows, so the look-ahead runs inside
-    (session, time bucket) pieces. A piece's last event takes the first time of
-    the session's next non-empty piece, found on one pre-aggregated row per
-    piece. Rows without a session get null and are spread by their tie-break.
+    A session may hold any share of the rows, and all of them in one second:
+    events are dealt by range of (session, time, tie-break), looked ahead inside
+    their task, and only the first event of each task is told to the one before.
+    Events without a session get null; they are dealt by time and tie-break too.
+    The dealt events are written once, when this is called. ``bucket_s`` was the
+    length of the pieces that sessions used to be cut in; it has no effect now.
     """
     keys = list(session_keys)
     orphan = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    seconds = F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(ts))
-    piece = F.when(orphan, F.pmod(F.xxhash64(tie), F.lit(4096))).otherwise(
-        F.floor(seconds / bucket_s)
-    )
-    cut = df.withColumn("_piece", piece.cast("bigint"))
-    parts = [*keys, "_piece"]
-
-    heads = cut.where(~orphan).groupBy(*parts).agg(F.min(ts).alias("_head"))
-    following = F.lead("_head").over(Window.partitionBy(*keys).orderBy("_piece"))
-    heads = heads.withColumn("_after", following).drop("_head")
-
-    inside = F.lead(ts).over(Window.partitionBy(*parts).orderBy(ts, tie))
-    paired = cut.withColumn("_next", inside).join(heads, parts, "left")
-    gap = F.timestamp_diff("MICROSECOND", F.col(ts), F.coalesce("_next", "_after")) / 1_000_000
+    paired = next_in_order(df, keys, [ts, tie], ts, "_next")
+    gap = F.timestamp_diff("MICROSECOND", F.col(ts), F.col("_next")) / 1_000_000
     stay = F.when(~orphan, cap_duration(gap, cap_s))
     return paired.withColumn(out, stay).select(*df.columns, out)
 
