@@ -145,6 +145,7 @@ def test_base_spans_equal_plain_expressions():
 def test_base_spans_of_long_runs():
     for t in ("a" * 300_000 + " @", "1" * 300_000, "a@" * 50_000, "1." * 100_000, "+1" + " " * 200_000):
         pii.base_spans(t)
+    assert pii.base_spans("1.2.3." + "0" * 5_000 + "7") == [(1, 0, 5_007)] and pii.base_spans("1.2.3." + "9" * 5_000) == []
 
 
 @pytest.mark.parametrize("at_once", [200_000, 1])

@@ -155,8 +155,8 @@ def keep_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     texts are never shuffled.
     """
     model = fit_on_labels(stored(measures(docs).select("doc_id", statistics().alias("x")), "statistics"), labels)
-    whole = docs.select(F.struct(*docs.columns).alias("__row"), "text")
-    seen = measures(whole, "__row").select(*(F.col("__row")[c].alias(f"c{i}") for i, c in enumerate(docs.columns)), statistics().alias("x"))
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("__row"), "text")
+    seen = measures(whole, "__row").select(*(F.col("__row").getField(c).alias(f"c{i}") for i, c in enumerate(docs.columns)), statistics().alias("x"))
 
     def kept(batches):
         for batch in batches:

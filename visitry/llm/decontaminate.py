@@ -176,6 +176,8 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs that overlap no test item, with all their columns; whole rows pass through the search."""
     spark, text = docs.sparkSession, docs.columns.index("text")
+    # plain names on the way, as the caller may use any
+    named, docs = docs.columns, docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
     for k, items in enumerate(seed_chunks(benchmark)):
         shared = spark.sparkContext.broadcast(items)
 
@@ -188,4 +190,4 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 yield batch.filter(pa.array(keep, pa.bool_()))
 
         docs = (stored(docs, "cleaned") if k else docs).mapInArrow(clean, docs.schema)
-    return docs
+    return docs.toDF(*named)

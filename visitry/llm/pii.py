@@ -74,7 +74,7 @@ def base_spans(text: str | None) -> list[tuple[int, int, int]]:
     if not text:
         return []
     found = [(0, *s) for s in _emails(text)]
-    found += [(1, *m.span()) for m in _IP.finditer(text) if all(len(g.lstrip("0")) < 4 and int(g) <= 255 for g in m.groups())]
+    found += [(1, *m.span()) for m in _IP.finditer(text) if all(len(g.lstrip("0")) < 4 and int(g.lstrip("0") or 0) <= 255 for g in m.groups())]
     for m in _CARD.finditer(text):
         digits = re.sub("[^0-9]", "", m.group()) if m.end() - m.start() < 64 else ""
         if 16 <= len(digits) <= 19 and _luhn(digits):
@@ -276,7 +276,9 @@ def redact(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
             chunks.append(docs.sparkSession.sparkContext.broadcast(chunk))
             chunk = {}
     chunks.append(docs.sparkSession.sparkContext.broadcast(chunk))
-    names = docs.columns
+    # plain names on the way, as the caller may use any
+    names, extra = [f"c{i}" for i in range(len(docs.columns))], "added"
+    plain = docs.toDF(*names)
 
     def added(text, patterns):
         """Kind, start and end of the unseen identifiers of a text, one after another."""
@@ -293,7 +295,7 @@ def redact(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
             for batch in batches:
                 texts, before = batch.column(at).to_pylist(), batch.column(len(names)).to_pylist()
                 spans = [b + added(t, shared.value) for t, b in zip(texts, before, strict=True)]
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(spans, pa.list_(pa.int32()))], names=[*names, "__added"])
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(spans, pa.list_(pa.int32()))], names=[*names, extra])
 
         return run
 
@@ -316,7 +318,7 @@ def redact(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
 
         return run
 
-    found = docs.withColumn("__added", F.array().cast("array<int>"))
+    found = plain.withColumn(extra, F.array().cast("array<int>"))
     for shared in chunks[:-1]:
         found = stored(found.mapInArrow(collecting(shared), found.schema), "found")
-    return found.mapInArrow(replacing(chunks[-1]), docs.schema)
+    return found.mapInArrow(replacing(chunks[-1]), plain.schema).toDF(*docs.columns)
