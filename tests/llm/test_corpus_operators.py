@@ -181,9 +181,10 @@ def test_masks_hit_every_overlap():
             assert any(all(s + o not in changed for o in m) for m in decontaminate.MASKS for s in range(length - m[-1]))
 
 
-@pytest.mark.parametrize("chunk", [2_000_000, 30])
-def test_overlaps(spark, make, monkeypatch, chunk):
-    monkeypatch.setattr(decontaminate, "CHUNK_WORDS", chunk)
+@pytest.mark.parametrize(("piece", "bits"), [(4_096, 28), (2, 16)])
+def test_overlaps(spark, make, monkeypatch, piece, bits):
+    monkeypatch.setattr(decontaminate, "PIECE", piece)
+    monkeypatch.setattr(decontaminate, "FILTER_BITS", bits)
     monkeypatch.setattr(decontaminate, "PORTION", 200)
     rnd = random.Random(11)
     items = {k: words_of(rnd, n) for k, n in enumerate([40, 13, 25, 9, 8, 4, 40])}
@@ -196,14 +197,57 @@ def test_overlaps(spark, make, monkeypatch, chunk):
             (5, text(items[3] + items[4])), (6, text(items[5])), (7, text(words_of(rnd, 5) + items[0][10:23])), (8, text(items[0][:12])), *[(50 + k, t) for k, (_, t) in enumerate(ODD)]]
     benchmark = spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()] + [(90, None), (91, "")], "item_id long, text string")
     got = {(r["doc_id"], r["item_id"]): r for r in decontaminate.find_overlaps(make(rows), benchmark).collect()}
-    assert set(got) == {(1, 0), (2, 1), (3, 2), (5, 3), (5, 4), (7, 0)}
+    assert set(got) == {(1, 0), (2, 1), (3, 2), (5, 3), (5, 4), (6, 5), (7, 0)}
     assert (got[1, 0]["first_word"], got[1, 0]["n_words"], got[1, 0]["n_equal"]) == (30, 40, 40)
     clean = decontaminate.drop_contaminated(make(rows), benchmark)
-    assert clean.columns == make(rows).columns and {r["doc_id"] for r in clean.collect()} == {i for i, _ in rows} - {1, 2, 3, 5, 7}
+    assert clean.columns == make(rows).columns and {r["doc_id"] for r in clean.collect()} == {i for i, _ in rows} - {1, 2, 3, 5, 6, 7}
     assert decontaminate.find_overlaps(make(rows), benchmark.limit(0)).collect() == []
     assert decontaminate.find_overlaps(make(rows).limit(0), benchmark).collect() == []
 
 
+def plain_overlaps(rows, items):
+    """Every window of every item at every place of every document."""
+    least = {}
+    for i, t in items:
+        w = tuple(decontaminate.benchmark_words(t))
+        if w:
+            least[w] = min(i, least.get(w, i))
+    found = set()
+    for d, t in rows:
+        words = decontaminate.benchmark_words(t)
+        for w, i in least.items():
+            n = min(13, len(w))
+            need = n if len(w) < 8 else math.ceil(0.8 * n - 1e-9)
+            if any(sum(x == y for x, y in zip(w[a : a + n], words[b : b + n], strict=True)) >= need for a in range(len(w) - n + 1) for b in range(len(words) - n + 1)):
+                found.add((d, i))
+    return found
+
+
+@pytest.mark.parametrize("piece", [4_096, 1])
+def test_overlaps_as_all_windows_give_them(spark, make, monkeypatch, piece):
+    monkeypatch.setattr(decontaminate, "PIECE", piece)
+    rnd = random.Random(12)
+    items = [(k, " ".join(f"v{rnd.randrange(300)}" for _ in range(n))) for k, n in enumerate([1, 2, 5, 7, 8, 9, 12, 13, 14, 20, 35, 60])]
+    items += [(50, items[9][1].upper().replace(" ", ", ")), (51, items[3][1] + "."), (52, None), (53, "")]
+    rows = []
+    for d in range(100):
+        words = [f"v{rnd.randrange(300)}" for _ in range(rnd.randrange(40))]
+        source = rnd.choice(items[:12])[1].split()
+        a = rnd.randrange(len(source))
+        part = [w if rnd.random() > 0.15 else "other" for w in source[a // 3 :]]
+        at = rnd.randrange(len(words) + 1)
+        rows.append((d, " ".join(words[:at] + part + words[at:])))
+    rows += [(170, items[3][1]), (171, "so " + items[3][1]), (172, None), (173, ""), (170, items[3][1])]
+    got = [(r["doc_id"], r["item_id"]) for r in decontaminate.find_overlaps(make(rows), spark.createDataFrame(items, "item_id long, text string")).collect()]
+    want = plain_overlaps(rows, items)
+    assert set(got) == want and len(want) > 40 and got.count((170, 3)) == 2
+    short = {0, 1, 2, 3}
+    whole = {" ".join(decontaminate.benchmark_words(t)) for i, t in items if i in short}
+    clean = decontaminate.drop_contaminated(make(rows), spark.createDataFrame(items, "item_id long, text string"))
+    gone = {d for d, i in want if i not in short} | {d for d, t in rows if " ".join(decontaminate.benchmark_words(t)) in whole}
+    assert {r["doc_id"] for r in clean.collect()} == {d for d, _ in rows} - gone and 170 in gone and 171 not in gone
+
+
 def plain_katz(rows):
     tokens = [(i, (t or "").encode().lower().split() + [b"\n"]) for i, t in rows]
     train = [t for i, t in tokens if i is None or zlib.crc32(str(i).encode()) % 7 != 2]
