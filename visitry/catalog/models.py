@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.aggregates import quintile_rating
-from ..plans import hybrid, recommend, rfm
+from ..operators.ordered import stored
+from ..operators.products import best_by_product
+from ..operators.reshape import ranks_to_columns
+from ..plans import hybrid, ranking, recommend, rfm
 from ..plans.evaluation import precision_recall_at_k, rec_hit_rate, rec_rmse_mae
 from .bindings import AS_OF_PURCHASE, Tables
 from .registry import query
@@ -128,6 +131,21 @@ query("als_click_contract", _contract_sql(CLICKS))(
 )
 
 
+@query("als_exact_topk", f"SELECT member_id, true AS same FROM ({INTERACTIONS}) i GROUP BY member_id")
+def _(t):
+    """Per member: whether the pruned search lists the scores that scoring all pairs lists."""
+    ratings, numbers = recommend.number_ids(_ratings(t))
+    model = recommend.als_fit(ratings)
+    best = best_by_product(
+        model.userFactors.withColumnRenamed("id", "member_id"), model.itemFactors.withColumnRenamed("id", "product_id"), 10, item="product_id"
+    ).rows.withColumnRenamed("score", "rating")
+    both = {"pruned": recommend.named_ids(best, numbers), "all": recommend.named_ids(recommend.als_scores(model), numbers)}
+    lists = [df.groupBy("member_id").agg(F.reverse(F.array_sort(F.collect_list("rating"))).alias(name)) for name, df in both.items()]  # ten each
+    joined = lists[0].join(lists[1], "member_id", "full")
+    close = F.forall(F.zip_with("pruned", "all", lambda a, b: F.abs(a - b) <= 1e-5 * (1 + F.abs(b))), lambda x: x)
+    return joined.select("member_id", F.coalesce(close, F.lit(False)).alias("same"))
+
+
 def _everything(t: Tables):
     return recommend.recommend_all(t("purchase"), t("product_click"), t("cid_map"), t("brand"), t("member"))
 
@@ -328,13 +346,71 @@ query("feature_token", """
     FROM member""")(_user_tokens)
 
 
+def _rated(t: Tables):
+    return _interactions(t).join(hybrid.item_index(t("case_info")), "item").select(
+        F.col("member_id").cast("int"), F.col("item_id").cast("int"), "ratings"
+    )
+
+
 @query("hybrid_recommend")
 def _(t):
-    ids = hybrid.item_index(t("case_info"))
-    rated = _interactions(t).join(ids, "item").select(
-        F.col("member_id").cast("int"), F.col("item_id").cast("int"), "ratings"
+    return hybrid.hybrid_recommend(_rated(t), _user_tokens(t), _item_tokens(t))
+
+
+# --- the same, learnt from pairs --------------------------------------------------------
+
+
+def _ranking(t: Tables):
+    return ranking.fit_ranking(_rated(t), _user_tokens(t), _item_tokens(t))
+
+
+@query("ranking_recommend")
+def _(t):
+    return ranking.ranking_recommend(_ranking(t)).rows
+
+
+@query("ranking_audience")
+def _(t):
+    """The ten members who score highest for each item, by name."""
+    best = ranking.ranking_audience(_ranking(t), 10).rows.join(hybrid.item_index(t("case_info")), "item_id")
+    return best.select("item", "member_id", "score", "rank")
+
+
+@query("ranking_contract", f"""
+    SELECT member_id, least(5, (SELECT count(*) FROM ({ITEM_INDEX}) i)) AS listed, least(5, (SELECT count(*) FROM ({ITEM_INDEX}) i)) AS different,
+      true AS ordered, true AS product
+    FROM (SELECT member_id FROM member UNION SELECT member_id FROM ({WEIGHTED}) w) m""")
+def _(t):
+    """Per member: items listed and different, ranks without gaps over falling scores, scores equal to the product of the vectors."""
+    model = _ranking(t)
+    rows = ranking.ranking_recommend(model).rows
+    rows = rows.join(model.users.withColumnRenamed("features", "u"), "member_id").join(model.items.withColumnRenamed("features", "v"), "item_id")
+    dot = F.aggregate(F.zip_with("u", "v", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
+    close = F.abs(dot - F.col("score")) <= 1e-6 + 1e-6 * F.abs(dot)
+    listed = F.array_sort(F.collect_list(F.struct("rank", (-F.col("score")).alias("falling"))))  # at most five
+    rows = rows.groupBy("member_id").agg(
+        F.count("*").alias("listed"), F.countDistinct("item_id").alias("different"), listed.alias("l"), F.bool_and(close).alias("product")
     )
-    return hybrid.hybrid_recommend(rated, _user_tokens(t), _item_tokens(t))
+    ordered = (F.col("l.rank") == F.sequence(F.lit(1), F.size("l"))) & (F.col("l.falling") == F.array_sort("l.falling"))
+    return rows.select("member_id", "listed", "different", ordered.alias("ordered"), "product")
+
+
+@query("ranking_recall")
+def _(t):
+    """Recall at 5 on a held-out three tenths of the pairs: pair ranking beside implicit factorisation."""
+    sides = stored(recommend.split_sides(_rated(t), ["member_id", "item_id"], 0.7), "recall_sides")
+    train, test = (sides.where(F.col("side") == s).drop("side") for s in ("train", "test"))
+    actual = test.select("member_id", F.col("item_id").alias("item"))
+    users, items = _user_tokens(t), _item_tokens(t)
+    lists = {
+        "pairs": ranking.ranking_recommend(ranking.fit_ranking(train, users, items)).rows,
+        "implicit": hybrid.hybrid_recommend(train, users, items),
+    }
+    rows = [
+        precision_recall_at_k(ranks_to_columns(df, ["member_id"], "rank", 5, {"item_id": "product_"}), actual).select(F.lit(name).alias("model"), "*")
+        for name, df in lists.items()
+    ]
+    return rows[0].union(rows[1])
 
 
 SCORES = f"SELECT member_id, item_id, CAST(ratings AS DOUBLE) AS score FROM ({WEIGHTED}) w JOIN ({ITEM_INDEX}) i USING (item)"
