@@ -36,6 +36,12 @@ def test_equal_to_all_pairs(spark, block):
     assert best.pairs == len(members) * len(items) and best.scored <= best.pairs
     if block == 4:
         assert best.scored < best.pairs / 2
+    # pairs that are not to be listed: the best ones, all items of one member, ids of nobody
+    best_pairs = [(u, i) for u, x in brute(members, items, 2).items() for i, _ in x]
+    gone = best_pairs + [("m0", i) for i, _ in items] + [("m1", None), (None, 3), ("nobody", 3), ("m2", 10_000), best_pairs[0]]
+    left = best_by_product(m, i, 3, block=block, taken=spark.createDataFrame(gone, "member_id string, item_id long"))
+    expect = {u: [(x, s) for x, s in brute([(u, f)], items, 90)[u] if (u, x) not in set(gone)][:3] for u, f in members if u != "m0"}
+    assert got(left) == expect
 
 
 def test_few_items_and_none(spark):

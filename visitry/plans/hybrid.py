@@ -85,14 +85,18 @@ def hybrid_recommend(
     interactions: a new item scores like the known items of its token, a new
     user gets the mean scores of its token's users, else of everybody.
     """
+    return recommend_with_means(fit_implicit(interactions, rank, **params), users, items, k)
+
+
+def fit_implicit(interactions: DataFrame, rank: int = FACTORS, **params) -> ALSModel:
+    """Implicit factorisation of (member_id, item_id, ratings), int ids."""
     ensure_checkpoint_dir(interactions.sparkSession)
     blocks = max(10, interactions.sparkSession.sparkContext.defaultParallelism)
     settings = {"numUserBlocks": blocks, "numItemBlocks": blocks, **params}
-    model = ALS(
+    return ALS(
         userCol="member_id", itemCol="item_id", ratingCol="ratings", implicitPrefs=True,
         rank=rank, seed=42, **settings,
     ).fit(interactions)
-    return recommend_with_means(model, users, items, k)
 
 
 def recommend_with_means(model: ALSModel, users: DataFrame, items: DataFrame, k: int = TOP_ITEMS) -> DataFrame:

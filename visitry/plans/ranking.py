@@ -203,9 +203,9 @@ def _mean(move: Column) -> Column:
     return F.sum(move * F.col("n")) / F.sum("n")
 
 
-def ranking_recommend(model: Ranking, k: int = TOP_ITEMS) -> Best:
-    """The k items that score highest for every member: rows (member_id, item_id, score, rank)."""
-    return best_by_product(model.users, model.items, k)
+def ranking_recommend(model: Ranking, k: int = TOP_ITEMS, taken: DataFrame | None = None) -> Best:
+    """The k items that score highest for every member: rows (member_id, item_id, score, rank); pairs of `taken` left out."""
+    return best_by_product(model.users, model.items, k, taken=taken)
 
 
 def ranking_audience(model: Ranking, n: int) -> Best:
