@@ -131,19 +131,14 @@ query("als_click_contract", _contract_sql(CLICKS))(
 )
 
 
-@query("als_exact_topk", f"SELECT member_id, true AS same FROM ({INTERACTIONS}) i GROUP BY member_id")
+@query("als_pruned_contract", _contract_sql(INTERACTIONS))
 def _(t):
-    """Per member: whether the pruned search lists the scores that scoring all pairs lists."""
+    """The contract of the recommendations, of the search that leaves out pairs by norm."""
     ratings, numbers = recommend.number_ids(_ratings(t))
     model = recommend.als_fit(ratings)
-    best = best_by_product(
-        model.userFactors.withColumnRenamed("id", "member_id"), model.itemFactors.withColumnRenamed("id", "product_id"), 10, item="product_id"
-    ).rows.withColumnRenamed("score", "rating")
-    both = {"pruned": recommend.named_ids(best, numbers), "all": recommend.named_ids(recommend.als_scores(model), numbers)}
-    lists = [df.groupBy("member_id").agg(F.reverse(F.array_sort(F.collect_list("rating"))).alias(name)) for name, df in both.items()]  # ten each
-    joined = lists[0].join(lists[1], "member_id", "full")
-    close = F.forall(F.zip_with("pruned", "all", lambda a, b: F.abs(a - b) <= 1e-5 * (1 + F.abs(b))), lambda x: x)
-    return joined.select("member_id", F.coalesce(close, F.lit(False)).alias("same"))
+    factors = model.userFactors.withColumnRenamed("id", "member_id"), model.itemFactors.withColumnRenamed("id", "product_id")
+    best = best_by_product(*factors, 10, item="product_id").rows.withColumnRenamed("score", "rating")
+    return _contract(recommend.named_ids(best, numbers))
 
 
 def _everything(t: Tables):
