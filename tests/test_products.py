@@ -2,10 +2,12 @@
 
 import numpy as np
 import pytest
-from pyspark.ml.recommendation import ALS
+from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import functions as F
 
+from visitry.operators import products
 from visitry.operators.products import best_by_product
+from visitry.plans import recommend
 
 
 def brute(members, items, k):
@@ -64,3 +66,30 @@ def test_equal_to_the_model(spark):
     assert {u: len(x) for u, x in of_model.items()} == {u: len(x) for u, x in got(best).items()}
     for u, x in got(best).items():
         assert np.allclose([s for _, s in x], sorted(of_model[u], reverse=True), rtol=1e-5)
+
+
+def test_items_travel_once(spark, monkeypatch):
+    """Texts as item ids and pairs left out; one table of items and one of lists, however many blocks there are."""
+    rng = np.random.default_rng(7)
+    members = [(u, rng.integers(-2, 3, 4).astype(float).tolist()) for u in range(30)] + [(99, [0.0] * 4)]
+    items = [(f"i{i}", rng.integers(-2, 3, 4).astype(float).tolist()) for i in range(200)]
+    gone = {(u, i) for u, x in brute(members, items, 3).items() for i, _ in x[:2]}
+    want = {u: [(i, s) for i, s in x if (u, i) not in gone][:3] for u, x in brute(members, items, 9).items()}
+    tables, stored = [], products.stored
+    monkeypatch.setattr(products, "stored", lambda df, name: tables.append(name) or stored(df, name))
+    m = spark.createDataFrame(members, "member_id long, features array<double>")
+    best = best_by_product(m, spark.createDataFrame(items, "item_id string, features array<double>"), 3, block=2, taken=spark.createDataFrame(list(gone), "member_id long, item_id string"))
+    assert got(best) == want and sorted(tables) == ["product_best", "product_items"]
+
+
+def test_recommendations_do_not_score_all_pairs(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    rated = [(int(u), int(i), int(rng.integers(1, 6))) for u in range(40) for i in rng.choice(90, 9, replace=False)]
+    model = recommend.als_fit(spark.createDataFrame(rated, "member_id int, product_id int, rating int"), rank=4)
+    want = model.recommendForAllUsers(3).select("member_id", F.inline("recommendations")).collect(), model.recommendForAllItems(2).select("product_id", F.inline("recommendations")).collect()
+    for name in ("recommendForAllUsers", "recommendForAllItems"):
+        monkeypatch.setattr(ALSModel, name, None)
+    for rows, listed in zip(want, (recommend.als_scores(model, 3), recommend.als_users(model, 2)), strict=True):
+        got = {(r["member_id"], r["product_id"]): r["rating"] for r in listed.collect()}
+        assert len(got) == len(rows)
+        assert np.allclose(sorted(got.values()), sorted(r["rating"] for r in rows), rtol=1e-5)

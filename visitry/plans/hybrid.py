@@ -8,6 +8,7 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators.aggregates import pivot_onehot
+from ..operators.products import best_by_product
 from ..operators.reshape import ranks_to_columns
 from ..operators.sets import union_all
 from ..operators.windows import number_rows, topn_per_group
@@ -125,10 +126,8 @@ def recommend_with_means(model: ALSModel, users: DataFrame, items: DataFrame, k:
 
     def best(factors: DataFrame, key: str) -> DataFrame:
         """(key, item_id, score): the best k items of every (id, features)."""
-        listed = _model_of(model, factors, scored.select(F.col("id").cast("int"), "features")).recommendForAllUsers(k)
-        pairs = listed.select("member_id", F.inline("recommendations"))
-        pairs = pairs.select(F.col("member_id").alias(key), F.col("item_id").alias("id"), F.col("rating").cast("double").alias("score"))
-        pairs = pairs.join(standing, "id").select(key, F.col("_item").alias("item_id"), "score")
+        listed = best_by_product(factors.withColumnRenamed("id", key), scored.select("id", "features"), k, key, "id").rows
+        pairs = listed.select(key, "id", "score").join(standing, "id").select(key, F.col("_item").alias("item_id"), "score")
         return topn_per_group(pairs, [key], [F.desc("score"), F.asc("item_id")], k).drop("rank")
 
     known = best(model.userFactors, "member_id")
@@ -153,14 +152,6 @@ def _mean_factors(factors: DataFrame, rank: int, *keys: str) -> DataFrame:
     return factors.groupBy(*keys).agg(means.alias("features"))
 
 
-def _model_of(model: ALSModel, users: DataFrame, items: DataFrame) -> ALSModel:
-    """The model with other factors, (id, features) each."""
-    java = users.sparkSession._jvm.org.apache.spark.ml.recommendation.ALSModel(
-        model.uid, model.rank, users._jdf, items._jdf
-    )
-    return ALSModel(java.setUserCol("member_id").setItemCol("item_id"))
-
-
 def topk_items_wide(scores: DataFrame, names: DataFrame, k: int = TOP_ITEMS) -> DataFrame:
     """One row per member with the names of its k best items.
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import age_bucket, exclude_product_code
 from ..operators.aggregates import quintile_rating
 from ..operators.joins import join_lookup
+from ..operators.products import best_by_product
 from ..operators.reshape import ranks_to_columns
 from ..operators.sets import union_all
 from ..operators.windows import cohort_id, number_rows, topk_global, topn_per_group
@@ -76,11 +77,12 @@ def als_fit(ratings: DataFrame, **params) -> ALSModel:
 
 
 def als_scores(model: ALSModel, k: int = OWN_RANKS) -> DataFrame:
-    """The k best products per member, as rows."""
-    found = model.recommendForAllUsers(k)
-    return found.select("member_id", F.inline("recommendations")).select(
-        "member_id", "product_id", F.col("rating").cast("double").alias("rating")
-    )
+    """The k best products per member, as rows; equal to scoring all pairs."""
+    return best_by_product(*_factors(model), k, item="product_id").rows.select("member_id", "product_id", F.col("score").alias("rating"))
+
+
+def _factors(model: ALSModel) -> tuple[DataFrame, DataFrame]:
+    return model.userFactors.withColumnRenamed("id", "member_id"), model.itemFactors.withColumnRenamed("id", "product_id")
 
 
 def number_ids(ratings: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
@@ -111,10 +113,8 @@ def als_recommend(ratings: DataFrame, k: int = OWN_RANKS, **params) -> DataFrame
 
 def als_users(model: ALSModel, n: int) -> DataFrame:
     """The n members who score highest for each product, as rows."""
-    found = model.recommendForAllItems(n)
-    return found.select("product_id", F.inline("recommendations")).select(
-        "member_id", "product_id", F.col("rating").cast("double").alias("rating")
-    )
+    members, products = _factors(model)
+    return best_by_product(products, members, n, "product_id", "member_id").rows.select("member_id", "product_id", F.col("score").alias("rating"))
 
 
 def als_cv(
