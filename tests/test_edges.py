@@ -387,3 +387,17 @@ def test_hit_rate_edges(spark):
     assert rows(rec_hit_rate(recs, actual, 3).select("members", "hit")) == [(3, 1)]
     got = precision_recall_at_k(recs, actual, 3).first()
     assert abs(got.precision - (1 / 3) / 3) < 1e-12 and abs(got.recall - (1 / 2) / 3) < 1e-12
+
+
+def test_two_level_agg_groups_once(spark):
+    """Inner keys that are the outer ones and the counted column are distinct already; others are not."""
+    rows = [(1, "a", "x", 2.0), (1, "a", "x", 4.0), (1, "a", "y", 1.0), (2, "a", "x", None), (None, "a", "x", 3.0), (1, "b", "x", 7.0), (1, None, "x", 9.0)]
+    df = spark.createDataFrame(rows, "k int, o string, i string, v double")
+
+    def got(inner):
+        found = aggregates.two_level_agg(df, inner, ["o"], "v", "k")
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        return sorted(map(tuple, found.collect())), plan.count("Exchange hashpartitioning")
+
+    assert got(["k", "o"]) == ([("a", 2, 3.33), ("b", 1, 7.0)], 2)
+    assert got(["k", "o", "i"])[0] == [("a", 2, 2.5), ("b", 1, 7.0)]

@@ -64,13 +64,16 @@ def two_level_agg(
     """Sum per inner key, then per outer key: distinct ``count_of`` and mean of the sums.
 
     Columns ``groups`` and ``mean_<col>``; outer rows with a null key are dropped.
+    Where the inner key is the outer one and ``count_of``, its groups are distinct
+    as they stand, and are not grouped once more to be counted.
     """
+    distinct = F.count if set(inner) == {*outer, count_of} else F.countDistinct
     sums = df.groupBy(*inner).agg(F.coalesce(F.sum(col), F.lit(0.0)).alias("_sum"))
     return (
         sums.dropna(subset=list(outer))
         .groupBy(*outer)
         .agg(
-            F.countDistinct(count_of).alias("groups"),
+            distinct(count_of).alias("groups"),
             round_half_even(F.avg("_sum"), 2).alias(f"mean_{col}"),
         )
     )
@@ -153,7 +156,8 @@ def quintile_rating(
     df: DataFrame, col: str, out: str = "rating", percents: Sequence[int] = (20, 40, 60, 80)
 ) -> DataFrame:
     """Rating 1.. by the value's place among its own quantiles (edges inclusive)."""
-    # one scalar subquery holding all cuts, so the histogram is built once
+    # stored, as the cuts and the ratings both need the rows; one scalar subquery holds all cuts, so the histogram is built once
+    df = stored(df, "rated")
     cuts = quantile_cuts(df, col, percents).select(F.struct("*")).scalar()
     rating = F.lit(1)
     for p in percents:
