@@ -401,3 +401,9 @@ def test_two_level_agg_groups_once(spark):
 
     assert got(["k", "o"]) == ([("a", 2, 3.33), ("b", 1, 7.0)], 2)
     assert got(["k", "o", "i"])[0] == [("a", 2, 2.5), ("b", 1, 7.0)]
+
+
+def test_quintile_rating_reads_its_rows_once(spark):
+    rows = spark.range(40).selectExpr("id % 7 AS v").groupBy("v").count()
+    plan = aggregates.quintile_rating(rows, "count")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [v" not in plan and "Range" not in plan
