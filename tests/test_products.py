@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 from pyspark.ml.recommendation import ALS, ALSModel
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import functions as F
 
 from visitry.operators import products
@@ -93,3 +94,13 @@ def test_recommendations_do_not_score_all_pairs(spark, monkeypatch):
         got = {(r["member_id"], r["product_id"]): r["rating"] for r in listed.collect()}
         assert len(got) == len(rows)
         assert np.allclose(sorted(got.values()), sorted(r["rating"] for r in rows), rtol=1e-5)
+
+
+def test_search_of_settings_computes_ratings_once(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    rated = [(int(u), int(i), int(rng.integers(1, 6))) for u in range(30) for i in rng.choice(40, 8, replace=False)]
+    seen = []
+    monkeypatch.setattr(CrossValidator, "fit", lambda self, df: seen.append(df))
+    recommend.als_cv(spark.createDataFrame(rated, "member_id int, product_id int, rating int"), {"rank": (2,)}, folds=3)
+    assert sorted(tuple(r)[:3] for r in seen[0].collect()) == sorted(rated)
+    assert seen[0].inputFiles() and {r["fold"] for r in seen[0].collect()} == {0, 1, 2}
