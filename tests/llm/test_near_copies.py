@@ -88,3 +88,15 @@ def test_boilerplate_in_crowded_buckets(make, monkeypatch, slots):
     want = kept_of(rows)
     assert {4 * k for k in range(40)} <= want
     assert {r["doc_id"] for r in near_copies.drop_near_copies(make(rows)).collect()} == want
+
+
+def test_fingerprints_bring_candidates(make, monkeypatch):
+    """Texts of close fingerprints are compared even if no band holds them together, and kept apart if not similar."""
+    monkeypatch.setattr(near_copies, "band_keys", lambda shingles: [])
+    rnd = random.Random(3)
+    base = [f"w{rnd.randrange(5000)}" for _ in range(4000)]
+    rows = [(1, " ".join(base)), (2, " ".join([*base[:2000], "other", *base[2001:]])), (3, "a b c"), (4, "a  B c"), (5, "d e f"), (6, None), (7, " ")]
+    assert {r["doc_id"] for r in near_copies.drop_near_copies(make(rows)).collect()} == kept_of(rows) == {1, 3, 5, 6}
+    monkeypatch.setattr(near_copies, "fingerprints", lambda docs, width: docs.selectExpr("doc_id", "0L AS fingerprint"))
+    rows = [(1, "a b c"), (2, "d e f"), (3, " ".join(base))]
+    assert {r["doc_id"] for r in near_copies.drop_near_copies(make(rows)).collect()} == {1, 2, 3}

@@ -1,6 +1,7 @@
 """Near copies: texts with at least SIMILARITY (Jaccard) of their five-word shingles in common.
 
-BANDS keys of ROWS min-hashes each bring candidates together: two texts of similarity s share no key in
+Candidates are texts whose fingerprints (simhash.py, of five-word shingles) differ in two bits or fewer. At SIMILARITY
+most pairs differ in more, so keys of min-hashes bring together the rest: BANDS keys of ROWS min-hashes each bring candidates together: two texts of similarity s share no key in
 (1 - s ** ROWS) ** BANDS of all cases, 3 in a million at 0.8 and fewer above. Every candidate pair is compared by its
 whole shingle sets. Buckets of at most CROWDED texts are compared in full. In a larger one all texts are compared to
 the first, so a bucket of n near copies costs n comparisons. The texts of larger buckets that this leaves in several
@@ -23,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from visitry.llm.components import connected_components
+from visitry.llm.simhash import fingerprint_links, fingerprints
 from visitry.llm.text import lower_words, map_lists, stored
 
 WIDTH = 5
@@ -167,6 +169,17 @@ def _links_of_rare(placed: DataFrame, texts: DataFrame) -> DataFrame:
     return _similar(stored(pairs, "pairs"), sets)
 
 
+def print_candidates(texts: DataFrame) -> DataFrame:
+    """a, b: texts to be compared as their fingerprints are close; a fingerprint's texts meet its first one."""
+    prints = fingerprints(texts.select(F.col("text_id").alias("doc_id"), "text"), WIDTH)
+    prints = stored(prints.select(F.col("doc_id").alias("text_id"), "fingerprint").distinct(), "prints")
+    firsts = prints.groupBy("fingerprint").agg(F.min("text_id").alias("first"))
+    same = prints.join(firsts, "fingerprint").where("text_id <> first").select(F.col("first").alias("a"), F.col("text_id").alias("b"))
+    of_a, of_b = (firsts.select(F.col("fingerprint").alias(c), F.col("first").alias(f"first_{c}")) for c in "ab")
+    close = fingerprint_links(firsts.select("fingerprint")).join(of_a, "a").join(of_b, "b").select("first_a", "first_b")
+    return same.union(close).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
 def near_links(texts: DataFrame) -> DataFrame:
     """a, b: links between similar texts (text_id, text; repeats allowed). All similar candidates have a path of links."""
 
@@ -185,7 +198,7 @@ def near_links(texts: DataFrame) -> DataFrame:
     left, right = (small.select("key", F.col("text_id").alias(c)) for c in "ab")
     near = left.join(right, "key").where("a < b").select("a", "b")
     stars = crowd.where("text_id <> first").select(F.col("first").alias("a"), F.col("text_id").alias("b"))
-    links = _verified(near.union(stars), texts)
+    links = _verified(near.union(stars).union(print_candidates(texts)), texts)
 
     of = connected_components(links)
     placed = crowd.join(of, crowd["text_id"] == of["node"], "left").select("key", "text_id", F.coalesce("component", "text_id").alias("component"))
