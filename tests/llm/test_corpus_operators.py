@@ -136,6 +136,45 @@ def test_repeated_passages(make):
     assert passages.repeated_passages(make(rows).limit(0)).collect() == []
 
 
+def linked_passages(rows, width=46):
+    """Pairs of texts with a stretch of 46 shingles of which 41 or more are common, at up to five places off; by brute force."""
+    hashes = passages.shingle_hashes([passages.lower_words(t) for _, t in rows])
+    links = set()
+    for x, y in itertools.permutations(range(len(rows)), 2):
+        a, b = hashes[x], hashes[y]
+        for shift in range(-len(b) + 1, len(a)):
+            hit = np.zeros(len(a), dtype=bool)
+            for s in range(shift - 5, shift + 6):
+                low, high = max(0, s), min(len(a), len(b) + s)
+                if low < high:
+                    hit[low:high] |= a[low:high] == b[low - s : high - s]
+            sums = np.cumsum(np.r_[0, hit])
+            if (sums[width:] - sums[:-width] >= 41).any():
+                links.add(frozenset((rows[x][0], rows[y][0])))
+                break
+    return links
+
+
+@pytest.mark.parametrize(("pairs", "crowded"), [(3, None), (12, None), (12, 2), (1, None)])
+def test_passages_under_a_key_whose_first_is_another(make, monkeypatch, pairs, crowded):
+    """Texts around one frequent line, similar in pairs only: whichever is the first of the line's keys."""
+    if crowded:
+        monkeypatch.setattr(passages, "CROWDED", crowded)
+    rnd = random.Random(21)
+    line, rows = words_of(rnd, 33), []
+    for k in range(pairs):
+        own, behind = words_of(rnd, 9), words_of(rnd, 9)
+        for j in range(2):
+            rows.append((10 * k + j, " ".join(words_of(rnd, 15) + own + line + behind + words_of(rnd, 15))))
+        rows.append((10 * k + 5, " ".join(words_of(rnd, 30) + line + words_of(rnd, 30))))
+    links = linked_passages(rows)
+    assert links == {frozenset((10 * k, 10 * k + 1)) for k in range(pairs)}
+    by = {r["doc_id"]: r for r in passages.repeated_passages(make(rows)).collect()}
+    for k in range(pairs):
+        assert by[10 * k + 1]["class_id"] == by[10 * k]["class_id"] == 10 * k and by[10 * k + 5]["class_id"] == 10 * k + 5
+        assert [by[10 * k + j]["n_links"] for j in (0, 1, 5)] == [1, 1, 0] and by[10 * k + 1]["n_repeated"] >= 50
+
+
 def plain_removal(rows, length=200):
     data = [(i, (t or "").encode()) for i, t in rows]
     counts = collections.Counter(b[k : k + length] for _, b in data for k in range(len(b) - length + 1))
