@@ -175,6 +175,17 @@ def test_passages_under_a_key_whose_first_is_another(make, monkeypatch, pairs, c
         assert [by[10 * k + j]["n_links"] for j in (0, 1, 5)] == [1, 1, 0] and by[10 * k + 1]["n_repeated"] >= 50
 
 
+def test_contexts_are_written_once(make, monkeypatch):
+    """Only those that may repeat are written, and only one table has them."""
+    rnd, tables, written = random.Random(3), {}, suffixes.stored
+    monkeypatch.setattr(suffixes, "stored", lambda df, name, *rest: tables.setdefault(name, written(df, name, *rest)))
+    common = " ".join(words_of(rnd, 80))
+    rows = [(k, " ".join(words_of(rnd, 60)) + common + " ".join(words_of(rnd, 60))) for k in range(4)] + [(9, " ".join(words_of(rnd, 90)))]
+    found = {r["doc_id"]: r["n_removed"] for r in suffixes.remove_repeats(make(rows)).collect()}
+    assert all(found[k] >= len(common) for k in range(4)) and found[9] == 0
+    assert [name for name, df in tables.items() if "context" in df.columns] == ["sized"]
+
+
 def plain_removal(rows, length=200):
     data = [(i, (t or "").encode()) for i, t in rows]
     counts = collections.Counter(b[k : k + length] for _, b in data for k in range(len(b) - length + 1))

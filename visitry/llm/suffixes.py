@@ -22,7 +22,8 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visitry.llm.text import map_lists, stored
@@ -97,6 +98,13 @@ def candidate_stretches(data: np.ndarray, repeated: np.ndarray) -> list[tuple[in
     return list(zip(hashes[own[first]].view(np.int64).tolist(), starts[first].tolist(), starts[last].tolist(), strict=True))
 
 
+def _inverse(ranks: np.ndarray) -> np.ndarray:
+    """The places in the order of their ranks, which are all different and without gaps."""
+    order = np.empty(len(ranks), dtype=np.int64)
+    order[ranks] = np.arange(len(ranks))
+    return order
+
+
 def suffix_ranks(text: np.ndarray) -> np.ndarray:
     """Ranks of all suffixes. text: numbers from 1, below two million, as many at most.
 
@@ -111,7 +119,7 @@ def suffix_ranks(text: np.ndarray) -> np.ndarray:
     names, name = np.unique(triple, return_inverse=True)
     inner = suffix_ranks(name + 1) if len(names) < len(sample) else name
     rank = np.zeros(n + 4, dtype=np.uint64)
-    order = np.argsort(inner)
+    order = _inverse(inner)
     rank[sample[order]] = np.arange(1, len(sample) + 1, dtype=np.uint64)
     rank[n:] = 0
     rest = np.arange(0, n, 3)
@@ -141,7 +149,7 @@ def repeated_stretches(contexts: list[bytes], counts: np.ndarray) -> list[list[t
     data = np.frombuffer(b"\0".join(contexts) + b"\0", dtype=np.uint8)
     text = data.astype(np.int64) + len(contexts) + 1
     text[starts + lengths] = np.arange(1, len(contexts) + 1)  # ends that differ
-    order = np.argsort(suffix_ranks(text))
+    order = _inverse(suffix_ranks(text))
     length_left = np.repeat(starts + lengths, lengths + 1) - np.arange(len(text))
     order = order[length_left[order] >= LENGTH]
     # neighbours with equal prefixes, eight bytes at a time
@@ -179,33 +187,45 @@ def _anchor_table(texts: DataFrame) -> DataFrame:
     return texts.select("text_id", "text").where("text_id IS NOT NULL").mapInArrow(run, "gram long, text_id long, place int")
 
 
-_CONTEXT = "text_id long, text string, parts array<struct<gram:long,first:int,last:int>>"
+_CONTEXT = "text_id long, text string, parts array<struct<gram:long,first:int,last:int,digest:long>>"
+
+
+def _digest(context: bytes) -> int:
+    x = xxhash.xxh64_intdigest(context, 42)
+    return x - (1 << 64) if x >> 63 else x
 
 
 def _context_table(texts: DataFrame, repeated: DataFrame) -> DataFrame:
     """text_id, text and the candidate stretches of every text that has some."""
     places = repeated.groupBy("text_id").agg(F.collect_list("place").alias("places"))
-    kind = pa.list_(pa.struct([("gram", pa.int64()), ("first", pa.int32()), ("last", pa.int32())]))
+    kind = pa.list_(pa.struct([("gram", pa.int64()), ("first", pa.int32()), ("last", pa.int32()), ("digest", pa.int64())]))
 
     def run(batches):
         for batch in batches:
             ids, texts, parts = [], [], []
             for i, text, places in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                data = np.frombuffer(text.encode(), dtype=np.uint8)
-                found = candidate_stretches(data, np.array(places))
+                data = text.encode()
+                found = candidate_stretches(np.frombuffer(data, dtype=np.uint8), np.array(places))
                 if found:
                     ids.append(i)
                     texts.append(text)
-                    parts.append([{"gram": g, "first": a, "last": b} for g, a, b in found])
+                    parts.append([{"gram": g, "first": a, "last": b, "digest": _digest(data[a : b + LENGTH])} for g, a, b in found])
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.string()), pa.array(parts, kind)], names=["text_id", "text", "parts"])
 
-    return stored(texts.join(places, "text_id").select("text_id", "text", "places").mapInArrow(run, _CONTEXT), "candidates")
+    return stored(texts.join(places, "text_id").select("text_id", "text", "places").mapInArrow(run, _CONTEXT), "candidates", "zstd")
 
 
-def _found(contexts: DataFrame) -> DataFrame:
+def _found(candidates: DataFrame) -> DataFrame:
     """gram, digest, runs (array of first, last): the stretches of each context that are elsewhere too."""
-    sizes = contexts.groupBy("gram").agg(F.sum(F.length("context") + 1).alias("bytes"), F.sum("n").alias("all"))
-    sized = stored(contexts.join(sizes.where("all > 1"), "gram"), "sized")
+    # how much a gram has is told without texts, so the contexts are written once, and of grams that need it
+    length = F.col("last") - F.col("first") + LENGTH
+    sizes = _parts(candidates).groupBy("gram", "digest").agg(F.first(length).alias("length"), F.count(F.lit(1)).alias("n"))
+    sizes = sizes.groupBy("gram").agg(F.sum(F.col("length") + 1).alias("bytes"), F.sum("n").alias("all"))
+    sizes = stored(sizes.where("all > 1"), "sizes")
+    context = F.substring("data", F.col("first") + 1, F.col("last") - F.col("first") + LENGTH)
+    contexts = _parts(candidates, F.encode("text", "UTF-8").alias("data")).withColumn("context", context)
+    contexts = contexts.groupBy("gram", "digest").agg(F.first("context").alias("context"), F.count(F.lit(1)).alias("n"))
+    sized = stored(contexts.join(sizes, "gram"), "sized", "zstd")
     total = sized.where(F.col("bytes") <= GROUP_BYTES).agg(F.sum(F.length("context"))).first()[0] or 0
     groups = max(1, math.ceil(total / GROUP_BYTES))
 
@@ -233,11 +253,9 @@ def _found(contexts: DataFrame) -> DataFrame:
     return stored(small.union(large).where(F.size("runs") > 0), "runs")
 
 
-def _parts(candidates: DataFrame) -> DataFrame:
-    """text_id, gram, first, context of every candidate part."""
-    cut = candidates.select("text_id", F.encode("text", "UTF-8").alias("data"), F.explode("parts").alias("p"))
-    context = F.substring("data", F.col("p.first") + 1, F.col("p.last") - F.col("p.first") + LENGTH)
-    return cut.select("text_id", "p.gram", "p.first", context.alias("context"))
+def _parts(candidates: DataFrame, *columns: Column) -> DataFrame:
+    """text_id, gram, first, last, digest and the columns of every candidate part."""
+    return candidates.select("text_id", *columns, F.explode("parts").alias("p")).select("*", "p.*").drop("p")
 
 
 def removed_runs(texts: DataFrame) -> DataFrame:
@@ -248,10 +266,7 @@ def removed_runs(texts: DataFrame) -> DataFrame:
     repeated = anchors.join(grams, "gram").select("text_id", "place").distinct()
     one = texts.where("text_id IS NOT NULL").select("text_id", "text").dropDuplicates(["text_id"])
     candidates = _context_table(one, repeated)
-    digest = F.xxhash64("context").alias("digest")
-    contexts = _parts(candidates).groupBy("gram", digest).agg(F.first("context").alias("context"), F.count(F.lit(1)).alias("n"))
-    found = _found(stored(contexts, "contexts"))
-    places = _parts(candidates).select("text_id", "gram", "first", digest).join(found, ["gram", "digest"])
+    places = _parts(candidates).select("text_id", "gram", "first", "digest").join(_found(candidates), ["gram", "digest"])
     spans = places.select("text_id", F.transform("runs", lambda r: F.struct((F.col("first") + r["first"]).alias("start"), (F.col("first") + r["last"] + LENGTH).alias("end"))).alias("spans"))
     spans = spans.groupBy("text_id").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
