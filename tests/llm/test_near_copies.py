@@ -100,3 +100,20 @@ def test_fingerprints_bring_candidates(make, monkeypatch):
     monkeypatch.setattr(near_copies, "fingerprints", lambda docs, width: docs.selectExpr("doc_id", "0L AS fingerprint"))
     rows = [(1, "a b c"), (2, "d e f"), (3, " ".join(base))]
     assert {r["doc_id"] for r in near_copies.drop_near_copies(make(rows)).collect()} == {1, 2, 3}
+
+
+def test_frequent_shingles_bring_together_what_may_be_similar_only(spark):
+    """Sixty sets hold the same shingles behind 15 % of their own: none can be similar, so none are paired; others are."""
+    rows = []
+    sets = [(k, [1000 * k + j for j in range(15)], 100) for k in range(60)] + [(60 + k, [-9 - k % 3], 80 + k) for k in range(12)]
+    for text, own, size in sets:
+        shared = [10**6 + j for j in range(size - len(own))]
+        for left, shingle in zip(range(size - 1, -1, -1), (own + shared)[: size // 5 + 1], strict=False):
+            rows.append((shingle, text, size, left, text))
+    met = spark.createDataFrame(rows, "shingle long, text_id long, size long, left long, component long")
+    largest = met.groupBy("shingle").agg({"text_id": "max"}).withColumnRenamed("max(text_id)", "largest")
+    found = {frozenset((r["text_id"], r["text_id_x"])) for r in near_copies._meeting(met.join(largest, "shingle")).collect()}
+    whole = {t: {*own, *(10**6 + j for j in range(size - len(own)))} for t, own, size in sets}
+    alike = {frozenset((a, b)) for a, b in itertools.combinations(whole, 2) if len(whole[a] & whole[b]) >= 0.8 * len(whole[a] | whole[b])}
+    assert alike and alike <= found
+    assert not any(min(pair) < 60 and max(pair) < 60 for pair in found)

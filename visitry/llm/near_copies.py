@@ -129,6 +129,27 @@ def _slot_counts(sets: DataFrame) -> np.ndarray:
     return out
 
 
+def _meeting(met: DataFrame) -> DataFrame:
+    """Pairs of sets (the smaller one's columns end in _x) by every rare shingle they share, as far as these may be similar.
+
+    met: shingle, text_id, size, left (shingles of the set behind this one), component, largest (component of the shingle).
+    """
+    # the first shingle that two similar sets share has at least as many behind it, in both, as they must share. For the
+    # smaller set this is a shorter beginning than for the larger one, so few of a frequent shingle's texts are that side
+    sides = "text_id", "size", "left", "component"
+    share = SIMILARITY / (1 + SIMILARITY)
+    begin = met.where(F.col("left") + 1 >= 2 * share * F.col("size") - 1e-6).select("shingle", "largest", *(F.col(c).alias(f"{c}_x") for c in sides))
+    met = met.select("shingle", F.col("largest").alias("most_of"), *sides)
+    both = (
+        (F.col("component_x") != F.col("component"))
+        & (F.struct("size_x", "text_id_x") < F.struct("size", "text_id"))
+        & (F.least("left", "left_x") + 1 >= share * (F.col("size") + F.col("size_x")) - 1e-6)
+    )
+    # two texts of the largest component are connected, so one side of each pair is outside it
+    pairs = begin.where("component_x <> largest").join(met, "shingle").where(both)
+    return pairs.union(begin.where("component_x = largest").join(met.where("component <> most_of"), "shingle").where(both))
+
+
 def _links_of_rare(placed: DataFrame, texts: DataFrame) -> DataFrame:
     """Links between similar texts of different components. placed: text_id, component."""
     sets = _sets(texts, placed)
@@ -149,14 +170,7 @@ def _links_of_rare(placed: DataFrame, texts: DataFrame) -> DataFrame:
     parts = rows.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("m"))
     largest = parts.groupBy("shingle").agg(F.max(F.struct("m", "component"))["component"].alias("largest"), F.count(F.lit(1)).alias("parts"))
     met = stored(rows.join(largest.where("parts > 1").drop("parts"), "shingle"), "met")
-    # two texts of the largest component are connected, so one side of each pair is outside it
-    sides = "text_id", "size", "left", "component"
-    outside = met.where("component <> largest").select("shingle", *(F.col(c).alias(f"{c}_x") for c in sides))
-    pairs = outside.join(met, "shingle").where(
-        (F.col("component_x") != F.col("component"))
-        & ((F.col("component") == F.col("largest")) | (F.col("text_id_x") < F.col("text_id")))
-        & (F.least("size", "size_x") >= F.greatest("size", "size_x") * SIMILARITY - 1e-9)
-    )
+    pairs = _meeting(met)
     x_first = F.col("text_id_x") < F.col("text_id")
     pairs = pairs.select(
         F.least("text_id", "text_id_x").alias("a"), F.greatest("text_id", "text_id_x").alias("b"), (F.col("size") + F.col("size_x")).alias("sizes"),
