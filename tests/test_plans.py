@@ -90,3 +90,13 @@ def test_null_keys_are_spread(spark):
         assert out.count() == 1000 and out.where("v IS NULL").count() == 334
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_rating_sides_are_computed_once(spark, monkeypatch):
+    """The error of the factorisation fits one side and judges the other: both are read from one table."""
+    from visitry.catalog import QUERIES, models
+
+    names, written = [], models.stored
+    monkeypatch.setattr(models, "stored", lambda df, name: names.append(name) or written(df, name))
+    row = QUERIES["rec_rmse_mae"](spark, "/root/testdata/sf0.001").first()
+    assert names == ["rating_sides"] and 0 < row["mae"] <= row["rmse"]

@@ -284,7 +284,9 @@ def _(t):
 
 @query("rec_rmse_mae")
 def _(t):
-    train, test = recommend.train_test_split(recommend.number_ids(_ratings(t))[0], ["member_id", "product_id"])
+    # stored, as the fit reads one side and the evaluation the other
+    sides = stored(recommend.split_sides(recommend.number_ids(_ratings(t))[0], ["member_id", "product_id"]), "rating_sides")
+    train, test = (sides.where(F.col("side") == s).drop("side") for s in ("train", "test"))
     return rec_rmse_mae(recommend.als_fit(train).transform(test))
 
 
