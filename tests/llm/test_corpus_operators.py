@@ -5,6 +5,7 @@ import hashlib
 import itertools
 import math
 import random
+import re
 import zlib
 
 import numpy as np
@@ -175,6 +176,22 @@ def test_passages_under_a_key_whose_first_is_another(make, monkeypatch, pairs, c
         assert [by[10 * k + j]["n_links"] for j in (0, 1, 5)] == [1, 1, 0] and by[10 * k + 1]["n_repeated"] >= 50
 
 
+def test_texts_are_hashed_once(make, monkeypatch):
+    """One pass over the distinct texts gives all windows and shingles; copies make no key shared."""
+    rnd, tables, plans, written = random.Random(5), {}, {}, passages.stored
+
+    def noted(df, name, *rest):
+        plans.setdefault(name, df._jdf.queryExecution().optimizedPlan().toString())
+        return tables.setdefault(name, written(df, name, *rest))
+
+    monkeypatch.setattr(passages, "stored", noted)
+    rows = [(k, " ".join(words_of(rnd, 90))) for k in range(3)]
+    found = {r["doc_id"]: r for r in passages.repeated_passages(make([*rows, *((10 + k, t) for k, t in rows)])).collect()}
+    assert all(found[10 + k]["class_id"] == k and found[k]["n_repeated"] == 90 and found[k]["n_links"] == 0 for k in range(3))
+    assert [name for name, plan in plans.items() if "MapInArrow" in plan and re.search(r"\btext#", plan)] == ["prepared"]
+    assert tables["shared"].count() == 0
+
+
 def test_contexts_are_written_once(make, monkeypatch):
     """Only those that may repeat are written, and only one table has them."""
     rnd, tables, written = random.Random(3), {}, suffixes.stored
