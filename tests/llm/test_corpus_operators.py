@@ -203,6 +203,26 @@ def test_contexts_are_written_once(make, monkeypatch):
     assert [name for name, df in tables.items() if "context" in df.columns] == ["sized"]
 
 
+def test_only_contexts_without_a_copy_are_sorted(make, monkeypatch):
+    """With those they share an anchor with; texts are searched for anchors once."""
+    rnd, tables, plans, written = random.Random(4), {}, {}, suffixes.stored
+
+    def noted(df, name, *rest):
+        plans.setdefault(name, df._jdf.queryExecution().optimizedPlan().toString())
+        return tables.setdefault(name, written(df, name, *rest))
+
+    monkeypatch.setattr(suffixes, "stored", noted)
+    common, other = (" ".join(words_of(rnd, 120)) for _ in range(2))
+    rows = [(k, " ".join(words_of(rnd, 60)) + common + " ".join(words_of(rnd, 60))) for k in range(3)]
+    rows += [(10, other + " ".join(words_of(rnd, 60))), (11, " ".join(words_of(rnd, 60)) + other), (12, "a" * 500), (13, "a" * 300 + "b" * 150)]
+    got = sorted((str(r[0]), *r[1:]) for r in map(tuple, suffixes.remove_repeats(make(rows)).collect()))
+    assert got == plain_removal(rows)
+    assert [name for name, plan in plans.items() if "MapInArrow" in plan and re.search(r"\btext#", plan)] == ["anchors", "candidates"]
+    alone = {r["gram"] for r in tables["digests"].where("n = 1").collect()}
+    sorted_ = {r["gram"] for r in tables["sized"].collect()}
+    assert sorted_ and sorted_ <= alone and tables["digests"].where("n > 1").count() > 0
+
+
 def plain_removal(rows, length=200):
     data = [(i, (t or "").encode()) for i, t in rows]
     counts = collections.Counter(b[k : k + length] for _, b in data for k in range(len(b) - length + 1))

@@ -3,7 +3,8 @@
 Every piece of PIECE bytes has an anchor: its leftmost gram (GRAM bytes) of least hash. Equal pieces have equal
 anchors at equal places. Anchors are few, so counting their grams over the corpus is cheap, and a stretch of LENGTH
 bytes with a piece whose anchor is unique cannot repeat. What is left is cut into contexts (neighbouring stretches
-whose first pieces have one anchor, their bytes once); contexts with equal anchors meet in one group, equal contexts in one row. Over the contexts of a
+whose first pieces have one anchor, their bytes once); contexts with equal anchors meet in one group, equal contexts in one row.
+Anchors all of whose contexts have copies are done with that. Over the contexts of a
 group runs the difference-cover algorithm: sort the triples at two of three places, recurse on their names, merge
 in the places left, then compare the prefixes of neighbours in the order. The recursion ends once all names
 differ, so after few rounds, as contexts are short. Groups are small parts of the text (GROUP_BYTES); the stretches of a gram with more
@@ -23,7 +24,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from visitry.llm.text import map_lists, stored
@@ -164,10 +165,13 @@ def repeated_stretches(contexts: list[bytes], counts: np.ndarray) -> list[list[t
     hit = np.zeros(len(text), dtype=bool)
     hit[order[1:][same]] = hit[order[:-1][same]] = True
     hit |= np.repeat(counts > 1, lengths + 1) & (length_left >= LENGTH)
-    found = []
-    for start, length in zip(starts, lengths, strict=True):
-        runs = np.diff(np.concatenate([[False], hit[start : start + length], [False]]).astype(np.int8))
-        found.append(list(zip(np.nonzero(runs == 1)[0].tolist(), (np.nonzero(runs == -1)[0] - 1).tolist(), strict=True)))
+    # no run goes on over the end of a context, which is no stretch
+    steps = np.diff(np.concatenate([[False], hit, [False]]).astype(np.int8))
+    first, last = np.nonzero(steps == 1)[0], np.nonzero(steps == -1)[0] - 1
+    own = np.searchsorted(starts, first, side="right") - 1
+    found = [[] for _ in contexts]
+    for k, a, b in zip(own.tolist(), (first - starts[own]).tolist(), (last - starts[own]).tolist(), strict=True):
+        found[k].append((a, b))
     return found
 
 
@@ -217,15 +221,20 @@ def _context_table(texts: DataFrame, repeated: DataFrame) -> DataFrame:
 
 def _found(candidates: DataFrame) -> DataFrame:
     """gram, digest, runs (array of first, last): the stretches of each context that are elsewhere too."""
-    # how much a gram has is told without texts, so the contexts are written once, and of grams that need it
+    # what a gram has is told without texts, so the contexts are written once, and of grams that need it
     length = F.col("last") - F.col("first") + LENGTH
-    sizes = _parts(candidates).groupBy("gram", "digest").agg(F.first(length).alias("length"), F.count(F.lit(1)).alias("n"))
-    sizes = sizes.groupBy("gram").agg(F.sum(F.col("length") + 1).alias("bytes"), F.sum("n").alias("all"))
+    place = F.min(F.struct("text_id", "first", length.alias("length")))
+    digests = _parts(candidates).groupBy("gram", "digest").agg(place.alias("place"), F.count(F.lit(1)).alias("n"))
+    digests = stored(digests.select("gram", "digest", "n", "place.*"), "digests")
+    sizes = digests.groupBy("gram").agg(F.sum(F.col("length") + 1).alias("bytes"), F.sum("n").alias("all"), F.min("n").alias("least"))
     sizes = stored(sizes.where("all > 1"), "sizes")
-    context = F.substring("data", F.col("first") + 1, F.col("last") - F.col("first") + LENGTH)
-    contexts = _parts(candidates, F.encode("text", "UTF-8").alias("data")).withColumn("context", context)
-    contexts = contexts.groupBy("gram", "digest").agg(F.first("context").alias("context"), F.count(F.lit(1)).alias("n"))
-    sized = stored(contexts.join(sizes, "gram"), "sized", "zstd")
+    # where every context has a copy all stretches are elsewhere too, and there is nothing to sort
+    whole = digests.join(sizes.where("least > 1").select("gram"), "gram")
+    whole = whole.select("gram", "digest", F.array(F.struct(F.lit(0).alias("first"), (F.col("length") - LENGTH).cast("int").alias("last"))).alias("runs"))
+    wanted = digests.join(sizes.where("least = 1").drop("least"), "gram")
+    context = F.substring(F.encode("text", "UTF-8"), F.col("first") + 1, F.col("length"))
+    sized = wanted.join(candidates.select("text_id", "text"), "text_id").select("gram", "digest", "n", "bytes", "all", context.alias("context"))
+    sized = stored(sized, "sized", "zstd")
     total = sized.where(F.col("bytes") <= GROUP_BYTES).agg(F.sum(F.length("context"))).first()[0] or 0
     groups = max(1, math.ceil(total / GROUP_BYTES))
 
@@ -250,17 +259,17 @@ def _found(candidates: DataFrame) -> DataFrame:
     often = single.groupBy("stretch").agg(F.sum("n").alias("all")).where("all > 1").select("stretch")
     run = F.struct("first", F.col("first").alias("last"))
     large = single.join(often, "stretch").groupBy("gram", "digest").agg(F.collect_list(run).alias("runs"))
-    return stored(small.union(large).where(F.size("runs") > 0), "runs")
+    return stored(small.union(large).where(F.size("runs") > 0).union(whole), "runs")
 
 
-def _parts(candidates: DataFrame, *columns: Column) -> DataFrame:
-    """text_id, gram, first, last, digest and the columns of every candidate part."""
-    return candidates.select("text_id", *columns, F.explode("parts").alias("p")).select("*", "p.*").drop("p")
+def _parts(candidates: DataFrame) -> DataFrame:
+    """text_id, gram, first, last, digest of every candidate part."""
+    return candidates.select("text_id", F.explode("parts").alias("p")).select("text_id", "p.*")
 
 
 def removed_runs(texts: DataFrame) -> DataFrame:
     """text_id, n_removed, n_spans, kept_sha256 of the distinct texts in which something repeats."""
-    anchors = _anchor_table(texts)
+    anchors = stored(_anchor_table(texts), "anchors")
     # stored, so that both sides of the join come straight from their shuffle and a hot gram's side can be split
     grams = stored(anchors.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram"), "grams")
     repeated = anchors.join(grams, "gram").select("text_id", "place").distinct()
