@@ -70,6 +70,25 @@ def test_similar_sets_meet_in_their_first_shingles():
     assert near_copies.prefix(np.zeros(0, np.uint64), np.zeros(4, np.int64)).size == 0
 
 
+def test_only_likely_pairs_ship_their_sets(spark):
+    """Sizes and sketches rule out most pairs that are not similar, and none that is."""
+    rng = np.random.default_rng(6)
+    sets = []
+    for n in (0, 1, 9, 10, 40, 300, 3000):
+        base = rng.integers(1, 1 << 63, n, dtype=np.uint64)
+        for change in (0, 0.05, 0.1, 0.11, 0.12, 0.5):
+            new = rng.integers(1, 1 << 63, round(n * change), dtype=np.uint64)
+            sets.append(np.unique(np.concatenate([base[len(new) :], new])))
+    rows = [(i, s.tobytes(), len(s), near_copies.sketch(s).tolist()) for i, s in enumerate(sets)]
+    known = spark.createDataFrame(rows, "text_id long, shingles binary, size long, sketch array<long>")
+    pairs = list(itertools.combinations(range(len(sets)), 2))
+    want = {(a, b) for a, b in pairs if near_copies.similar(sets[a], sets[b])}
+    frame = spark.createDataFrame(pairs, "a long, b long")
+    likely = {tuple(r) for r in near_copies._likely(frame, known).collect()}
+    assert want <= likely and len(likely) < len(want) + 30 < len(pairs) / 4
+    assert {tuple(r) for r in near_copies._similar(frame, known).collect()} == want
+
+
 @pytest.mark.parametrize("slots", [1 << 20, 8])
 def test_boilerplate_in_crowded_buckets(make, monkeypatch, slots):
     """Texts that share a boilerplate of two thirds are no copies, but their own copies are found among them."""

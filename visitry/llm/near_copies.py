@@ -3,7 +3,7 @@
 Candidates are texts whose fingerprints (simhash.py, of five-word shingles) differ in two bits or fewer. At SIMILARITY
 most pairs differ in more, so keys of min-hashes bring together the rest: BANDS keys of ROWS min-hashes each bring candidates together: two texts of similarity s share no key in
 (1 - s ** ROWS) ** BANDS of all cases, 3 in a million at 0.8 and fewer above. Every candidate pair is compared by its
-whole shingle sets. Buckets of at most CROWDED texts are compared in full. In a larger one all texts are compared to
+whole shingle sets, unless their sizes, or parity bits that differ no more than the sets do, rule it out before these travel. Buckets of at most CROWDED texts are compared in full. In a larger one all texts are compared to
 the first, so a bucket of n near copies costs n comparisons. The texts of larger buckets that this leaves in several
 components meet again by their rare shingles: two sets that reach SIMILARITY share one among the 1 - SIMILARITY of
 their shingles that come first in any common order, and the order here puts the frequent ones last. Texts that share
@@ -36,6 +36,8 @@ CROWDED = 8
 SEED = 42
 #: Counters by which shingles are ordered, rare ones first. Shared counters blur the order, never the result.
 SLOTS = 1 << 20
+#: Bits that tell apart most sets of some hundred shingles before these travel; a multiple of 64.
+SKETCH = 512
 #: Shingles hashed by all functions at once, so a text of any length needs the same memory for it.
 AT_ONCE = 1_024
 _HASH = np.random.default_rng(7).integers(1, 1 << 63, ROWS * BANDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -64,6 +66,12 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """SKETCH parity bits of a set. Two sets differ in as many shingles as bits, at least."""
+    odd = np.bincount((shingles >> np.uint64(32)).astype(np.int64) % SKETCH, minlength=SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
     """Whether two sets reach SIMILARITY; empty ones are equal."""
     if min(len(a), len(b)) < SIMILARITY * max(len(a), len(b)):
@@ -82,13 +90,17 @@ def prefix(shingles: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def _sets(texts: DataFrame, named: DataFrame) -> DataFrame:
-    """text_id, shingles (sorted, eight bytes each) of the texts whose ids are in named; each text is shuffled once."""
+    """text_id, shingles (sorted, eight bytes each), size, sketch of the texts whose ids are in named; each text is shuffled once."""
 
     def make():
-        return lambda ids, texts: (ids, [shingle_set(t).tobytes() for t in texts])
+        def step(ids, texts):
+            sets = [shingle_set(t) for t in texts]
+            return ids, [x.tobytes() for x in sets], [len(x) for x in sets], [sketch(x) for x in sets]
+
+        return step
 
     one = texts.join(named, "text_id", "left_semi").dropDuplicates(["text_id"])
-    return stored(map_lists(one, ["text_id", "text"], "text_id long, shingles binary", make), "sets")
+    return stored(map_lists(one, ["text_id", "text"], "text_id long, shingles binary, size long, sketch array<long>", make), "sets")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -98,9 +110,24 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return _similar(pairs, _sets(texts, pairs.select(F.col("a").alias("text_id")).union(pairs.select("b")).distinct()))
 
 
+def _likely(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) that may be similar by the sizes and sketches of their sets; all similar ones are among them."""
+    known = sets.select("text_id", "size", "sketch")
+    one = pairs.join(known, F.col("a") == known["text_id"]).select("a", "b", F.col("size").alias("size_a"), F.col("sketch").alias("sketch_a"))
+    both = one.join(known, F.col("b") == known["text_id"])
+    apart = sum((F.bit_count(F.col("sketch")[k].bitwiseXOR(F.col("sketch_a")[k])) for k in range(SKETCH // 64)), F.lit(0))
+    sizes = F.col("size") + F.col("size_a")
+    enough = F.least("size", "size_a") >= SIMILARITY * F.greatest("size", "size_a") - 1e-6
+    return both.where(enough & (apart * (1 + SIMILARITY) <= sizes * (1 - SIMILARITY) + 1e-6)).select("a", "b")
+
+
 def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    one = pairs.join(sets.select(F.col("text_id").alias("a"), F.col("shingles").alias("of_a")), "a")
-    both = one.join(sets.select(F.col("text_id").alias("b"), F.col("shingles").alias("of_b")), "b").select("a", "b", "of_a", "of_b")
+    """The pairs (a, b) whose sets are similar."""
+    pairs = stored(_likely(pairs, sets), "likely")
+    # no column of the sets has another name in either join, so they are shuffled once
+    sets = sets.select("text_id", "shingles")
+    one = pairs.join(sets, F.col("a") == sets["text_id"]).select("a", "b", F.col("shingles").alias("of_a"))
+    both = one.join(sets, F.col("b") == sets["text_id"]).select("a", "b", "of_a", F.col("shingles").alias("of_b"))
 
     def run(batches):
         for batch in batches:
