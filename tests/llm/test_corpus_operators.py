@@ -192,6 +192,51 @@ def test_texts_are_hashed_once(make, monkeypatch):
     assert tables["shared"].count() == 0
 
 
+def test_runs_of_a_word_are_one_window(make, monkeypatch):
+    """A run of one word has many centres of the same key; they meet another text's as one row, and its own in no join."""
+    rnd, tables, written = random.Random(6), {}, passages.stored
+    monkeypatch.setattr(passages, "stored", lambda df, name, *rest: tables.setdefault(name, written(df, name, *rest)))
+    rows = [(k, " ".join(words_of(rnd, 30) + ["again"] * n + words_of(rnd, 30))) for k, n in enumerate((80, 95, 20))]
+    line = words_of(rnd, 20)
+    rows.append((7, " ".join(words_of(rnd, 20) + line * 9 + words_of(rnd, 20))))
+    by = {r["doc_id"]: r for r in passages.repeated_passages(make(rows)).collect()}
+    assert [by[k]["class_id"] for k in (0, 1, 2, 7)] == [0, 0, 2, 7] and [by[k]["n_links"] for k in (0, 1, 2, 7)] == [1, 1, 0, 0]
+    assert by[0]["n_repeated"] >= 80 and by[1]["n_repeated"] >= 95 and by[2]["n_repeated"] == 0 and by[7]["n_repeated"] >= 160
+    assert 2 <= tables["shared"].count() <= 3 * passages.HASHES
+
+
+def test_passages_in_another_text_as_all_places_give_them(monkeypatch):
+    rng = np.random.default_rng(11)
+    for k in range(200):
+        monkeypatch.setattr(passages, "CELLS", int(rng.integers(1, 60)))
+        a, b = ((rng.integers(0, 6, rng.integers(1, 40)) * 2 + 1).astype(np.int32) for _ in range(2))
+        low = rng.integers(-30, 30, k % 3 + 1)
+        high = low + rng.integers(0, 30, len(low))
+        shifts = {s for x, y in zip(low, high, strict=True) for s in range(x - 5, y + 6)}
+        in_a, in_b = passages._hits(a, b, passages._between(low, high, 1 - len(b), len(a) - 1))
+        assert in_a.tolist() == [any(0 <= i - s < len(b) and a[i] == b[i - s] for s in shifts) for i in range(len(a))]
+        assert in_b.tolist() == [any(0 <= j + s < len(a) and b[j] == a[j + s] for s in shifts) for j in range(len(b))]
+
+
+def test_rare_shingles_of_a_window():
+    """On each side with room, the rarest of those near a centre; a run of one shingle has many centres."""
+    rng, counts = np.random.default_rng(12), np.arange(1 << 12)[::-1].copy()
+    near, most = passages.CORE + passages.SHIFT, passages.MISSED + passages.SHIFT + 1
+    for wide in (0, 0, 3, 40):
+        core = rng.permutation(1 << 10)[: 2 * near + wide + 1].astype(np.uint32) * np.uint32(2) + np.uint32(1)
+        centre = int(rng.integers(0, near))
+        core[centre : centre + wide + 1] = core[centre]
+        left, right = centre - int(rng.integers(0, centre + 1)), centre + wide + int(rng.integers(0, near))
+        expected = set()
+        for c in range(centre, centre + wide + 1):
+            for side, room, cut in ((0, right - c, core[c : c + near]), (1, c - left, core[max(0, c - near + 1) : c + 1])):
+                if room >= passages.CORE - 1 - passages.SHIFT:
+                    expected |= {2 * x + side for x in sorted(set(cut.tolist()), key=lambda x: (counts[x % len(counts)], x))[:most]}
+        places = (np.array([v]) for v in (centre, wide, left, right))
+        window, token = passages._rare([core], *places, counts)
+        assert set(window.tolist()) <= {0} and sorted(token.tolist()) == sorted(expected)
+
+
 def test_contexts_are_written_once(make, monkeypatch):
     """Only those that may repeat are written, and only one table has them."""
     rnd, tables, written = random.Random(3), {}, suffixes.stored
