@@ -1,10 +1,12 @@
 """Best k by inner product against all pairs."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from visitry.operators import products
 from visitry.operators.products import best_by_product
@@ -104,3 +106,39 @@ def test_search_of_settings_computes_ratings_once(spark, monkeypatch):
     recommend.als_cv(spark.createDataFrame(rated, "member_id int, product_id int, rating int"), {"rank": (2,)}, folds=3)
     assert sorted(tuple(r)[:3] for r in seen[0].collect()) == sorted(rated)
     assert seen[0].inputFiles() and {r["fold"] for r in seen[0].collect()} == {0, 1, 2}
+
+
+def test_blocks_grow_with_the_ratings(spark, monkeypatch):
+    """A task of the fit holds so many numbers, whatever the table's size; the lists are as sound with many blocks as with ten."""
+    # of 216 million ratings by ten factors, none of the blocks has more than two million
+    assert 216e6 / recommend._fit_size(216_000_000, 10, 12)["numUserBlocks"] <= 2e6
+    assert recommend._fit_size(600_000, 10, 12)["numItemBlocks"] == 12 and recommend._fit_size(0, 10, 2)["numItemBlocks"] == 10
+    rng = np.random.default_rng(3)
+    rated = [(int(u), int(i), int(rng.integers(1, 6))) for u in range(50) for i in rng.choice(60, 9, replace=False)]
+    df = spark.createDataFrame(rated, "member_id int, product_id int, rating int")
+    seen, fit = [], ALS.fit
+    monkeypatch.setattr(ALS, "fit", lambda self, *a: seen.append(self) or fit(self, *a))
+    monkeypatch.setattr(recommend, "BLOCK_NUMBERS", 14 * 25)
+    model = recommend.als_fit(df, rank=4)
+    assert seen[0].getNumUserBlocks() == seen[0].getNumItemBlocks() == 18
+    error = model.transform(df).selectExpr("sqrt(avg(pow(prediction - rating, 2))) AS e").first()["e"]
+    assert error < 1 and model.userFactors.count() == 50
+
+
+def test_search_holds_about_a_block_of_items():
+    """However many items a batch has, only about a block of them is held as numbers of 64 bits."""
+    kinds = {"member": pa.int64(), "norm": pa.float64(), "taken": pa.list_(pa.int64()), "numbers": pa.list_(pa.int64()), "v": pa.list_(pa.float32())}
+
+    def batch(rows):
+        return pa.RecordBatch.from_arrays([pa.array([r.get(n) for r in rows], t) for n, t in kinds.items()], names=list(kinds))
+
+    members = [{"member": u, "norm": 1.0, "v": [1.0]} for u in range(3)]
+    items = [{"norm": 100.0 - i, "numbers": [2 * i, 2 * i + 1], "v": [100.0 - i, 99.5 - i]} for i in range(50)]
+    held, concatenate = [], np.concatenate
+    schema = T.StructType([T.StructField(n, T.LongType()) for n in ("member", "no", "score", "rank")])
+    with pytest.MonkeyPatch.context() as patch:
+        # vectors of items are the only arrays of two dimensions that are put together
+        patch.setattr(products.np, "concatenate", lambda arrays, **k: held.append((out := concatenate(arrays, **k)).shape) or out)
+        rows = list(products._searching(60, 8, schema)(iter([batch(members + items[:1]), batch(items[1:])])))
+    assert max(x[0] for x in held if len(x) == 2) < 2 * 8 and len(rows) == 2
+    assert rows[0].column("no").to_pylist()[:60] == list(range(60))
