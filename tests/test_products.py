@@ -142,3 +142,23 @@ def test_search_holds_about_a_block_of_items():
         rows = list(products._searching(60, 8, schema)(iter([batch(members + items[:1]), batch(items[1:])])))
     assert max(x[0] for x in held if len(x) == 2) < 2 * 8 and len(rows) == 2
     assert rows[0].column("no").to_pylist()[:60] == list(range(60))
+
+
+def test_fits_of_large_tables_let_go_of_what_was_shuffled(spark, monkeypatch):
+    """Checkpoints come the more often the more an iteration sends; small tables keep the usual ten, and factors do not change."""
+    assert recommend._fit_size(600_000, 10, 12)["checkpointInterval"] == 10
+    assert recommend._fit_size(216_000_000, 10, 12)["checkpointInterval"] == 1
+    rng = np.random.default_rng(5)
+    rated = [(int(u), int(i), int(rng.integers(1, 6))) for u in range(40) for i in rng.choice(50, 9, replace=False)]
+    df = spark.createDataFrame(rated, "member_id int, product_id int, rating int").repartition(1)
+    seen, fit = [], ALS.fit
+    monkeypatch.setattr(ALS, "fit", lambda self, *a: seen.append(self) or fit(self, *a))
+
+    def factors():
+        return np.array([r["features"] for r in recommend.als_fit(df, rank=3).userFactors.orderBy("id").collect()])
+
+    plain = factors()
+    monkeypatch.setattr(recommend, "SHUFFLED_NUMBERS", 1)
+    often = factors()
+    assert [als.getCheckpointInterval() for als in seen] == [10, 1]
+    assert np.allclose(plain, often, rtol=1e-3, atol=1e-4)

@@ -30,6 +30,8 @@ MISSING = "無資料"
 ALS_GRID = {"rank": (10, 100, 2000), "regParam": (0.001, 0.01, 0.1)}
 # Numbers that a block of a fit holds at most: its ratings, about ten for each, and the factors these need.
 BLOCK_NUMBERS = 40_000_000
+# Numbers that are shuffled before a checkpoint lets go of them.
+SHUFFLED_NUMBERS = 200_000_000
 
 
 def interactions_purchase(purchase: DataFrame) -> DataFrame:
@@ -63,10 +65,16 @@ def interactions_click(
 
 
 def _fit_size(ratings: int, rank: int, cores: int) -> dict[str, int]:
-    """Blocks whose tasks need no more memory the larger the table: one holds its ratings and, at the most, the factors of each."""
+    """Blocks whose tasks need no more memory the larger the table, and checkpoints that keep the disk from holding all iterations.
+
+    A block's task holds its ratings and, at the most, the factors of each of them; an iteration sends as many twice.
+    """
     # the default of 10 blocks would bound the parallelism, however large the cluster
     blocks = max(10, cores, math.ceil(ratings * (rank + 10) / BLOCK_NUMBERS))
-    return {"numUserBlocks": blocks, "numItemBlocks": blocks}
+    return {
+        "numUserBlocks": blocks, "numItemBlocks": blocks,
+        "checkpointInterval": min(10, max(1, SHUFFLED_NUMBERS // max(1, 2 * ratings * rank))),
+    }
 
 
 def _als(known: DataFrame, rank: int = 10, **params) -> ALS:
