@@ -4,8 +4,10 @@ import collections
 import hashlib
 import itertools
 import math
+import pathlib
 import random
 import re
+import urllib.parse
 import zlib
 
 import numpy as np
@@ -176,6 +178,28 @@ def test_passages_under_a_key_whose_first_is_another(make, monkeypatch, pairs, c
         assert [by[10 * k + j]["n_links"] for j in (0, 1, 5)] == [1, 1, 0] and by[10 * k + 1]["n_repeated"] >= 50
 
 
+def test_rare_meetings_are_compared_in_parts(make, monkeypatch):
+    """What meets over rare shingles is made for a part of the texts at a time and leaves the disk once compared; the rows do not change."""
+    rnd = random.Random(21)
+    line, rows, stored = words_of(rnd, 33), [], collections.defaultdict(list)
+    for k in range(12):
+        own, behind = words_of(rnd, 9), words_of(rnd, 9)
+        rows += [(10 * k + j, " ".join(words_of(rnd, 15) + own + line + behind + words_of(rnd, 15))) for j in range(3)]
+    whole = sorted(map(tuple, passages.repeated_passages(make(rows)).collect()))
+    written = passages.stored
+
+    def noted(df, name):
+        out = written(df, name)
+        stored[name].append(pathlib.Path(urllib.parse.urlparse(out.inputFiles()[0]).path).parent)
+        return out
+
+    monkeypatch.setattr(passages, "stored", noted)
+    monkeypatch.setattr(passages, "MEETINGS", 1000)
+    assert sorted(map(tuple, passages.repeated_passages(make(rows)).collect())) == whole
+    assert len(stored["met"]) > 2 and len({r[4] for r in whole}) == 12
+    assert not any(folder.exists() for name in ("prepared", "keys", "links", "linked", "cores", "near", "met") for folder in stored[name])
+
+
 def test_texts_are_hashed_once(make, monkeypatch):
     """One pass over the distinct texts gives all windows and shingles; copies make no key shared."""
     rnd, tables, plans, written = random.Random(5), {}, {}, passages.stored
